@@ -641,12 +641,12 @@ def _message_stream(spark, messages: DataFrame) -> DataFrame:
     return topics.stream_flows(spark, "parquet", {}, path)
 
 
-def _preprocessed(spark, sf_dir, stos_fill) -> DataFrame:
-    """Encoded row messages that a stream made of chunk messages."""
+def _preprocessed(spark, sf_dir, stos_fill, **options) -> DataFrame:
+    """Encoded messages that a stream made of chunk messages."""
     out = scratch_path(spark, "encoded")
     jobs.run_preprocess_stream(
-        _message_stream(spark, _packed(spark, sf_dir)), "parquet", {"path": out},
-        scratch_path(spark, "checkpoint"), stos_fill, layout=RAW_WITH_ID, keep=["flow_id"],
+        _message_stream(spark, _packed(spark, sf_dir)), stos_fill, "parquet", {"path": out},
+        scratch_path(spark, "checkpoint"), layout=RAW_WITH_ID, keep=["flow_id"], **options,
     ).awaitTermination()
     return spark.read.parquet(out).select("key", "value")
 
@@ -658,12 +658,19 @@ def _run_preprocess_stream(spark, sf_dir):
     return chunks.decode_row_json(_preprocessed(spark, sf_dir, fill), ENCODED_WITH_ID)
 
 
+@_register("run_preprocess_stream_chunks",
+           f"select flow_id, {_columns(ENCODED_COLUMNS, Sport=_SENT)} from flows")
+def _run_preprocess_stream_chunks(spark, sf_dir):
+    fill = encode.fit_stos_fill(read_flows(spark, sf_dir))
+    messages = _preprocessed(spark, sf_dir, fill, encoded_as=jobs.CHUNKS)
+    return jobs.decode_encoded(messages, jobs.CHUNKS, ENCODED_WITH_ID)
+
+
 @_register("batch_median_fill",
            f"select flow_id, {_columns(ENCODED_COLUMNS, Sport=_SENT)} from flows")
 def _batch_median_fill(spark, sf_dir):
-    return chunks.decode_row_json(
-        _preprocessed(spark, sf_dir, jobs.BATCH_MEDIAN), ENCODED_WITH_ID
-    )
+    messages = _preprocessed(spark, sf_dir, jobs.BATCH_MEDIAN)
+    return chunks.decode_row_json(messages, ENCODED_WITH_ID)
 
 
 @_register("message_median_fill", f"""select flow_id, sTos, cast(sTos = 1.0 as int) as sTosone
@@ -671,9 +678,8 @@ def _batch_median_fill(spark, sf_dir):
     select chunk, quantile_disc(sTos, 0.5) as fill from chunked group by chunk) m
     on c.chunk = m.chunk)""")
 def _message_median_fill(spark, sf_dir):
-    rows = chunks.decode_row_json(
-        _preprocessed(spark, sf_dir, jobs.MESSAGE_MEDIAN), ENCODED_WITH_ID
-    )
+    messages = _preprocessed(spark, sf_dir, jobs.MESSAGE_MEDIAN)
+    rows = chunks.decode_row_json(messages, ENCODED_WITH_ID)
     return rows.select("flow_id", "sTos", "sTosone")
 
 

@@ -31,17 +31,17 @@ def start_time(text: Column) -> Column:
 
 
 def typed_text(text: Column, data_type: T.DataType) -> Column:
-    """Text of a log or message to its declared type; what does not fit becomes null."""
-    # A bare NaN token of a JSON message reaches us as text with quotes around it.
-    text = F.when(~text.isin('"NaN"', "NaN"), text)
+    """Text of a log or message to its declared type; what does not fit, and NaN, becomes null."""
+    if isinstance(data_type, T.StringType):
+        # A bare NaN token of a JSON message reaches us as text with quotes around it.
+        return F.when(~text.isin('"NaN"', "NaN"), text)
     if isinstance(data_type, T.TimestampNTZType):
         return start_time(text)
     if isinstance(data_type, T.IntegralType):
         # Whole numbers may be written as 3 or 3.0, by what else their chunk held.
-        return F.coalesce(
-            text.try_cast(data_type), null_if_nan(text.try_cast("double")).try_cast(data_type)
-        )
-    return text if isinstance(data_type, T.StringType) else text.try_cast(data_type)
+        return F.coalesce(text.try_cast(data_type), text.try_cast("double").try_cast(data_type))
+    number = text.try_cast(data_type)
+    return null_if_nan(number) if isinstance(data_type, T.DoubleType) else number
 
 
 def micros(time: Column) -> Column:

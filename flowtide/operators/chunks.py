@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowtide.functions.flow import null_if_nan, typed_text
-from flowtide.schema import CHUNK_ROWS, RAW_FLOW, chunk_schema
+from flowtide.operators.encode import encoded_columns
+from flowtide.schema import CHUNK_ROWS, ENCODED_COLUMNS, RAW_FLOW, chunk_schema
 from flowtide.session import store
 
 CHUNK, IDX = "chunk", "idx"
@@ -59,8 +60,7 @@ def assign_chunks(
     )
 
 
-def _json_cell(field: T.StructField) -> Column:
-    value = F.col(field.name)
+def _json_cell(value: Column, field: T.StructField) -> Column:
     if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
         return null_if_nan(value)
     if isinstance(field.dataType, T.TimestampNTZType):
@@ -68,9 +68,14 @@ def _json_cell(field: T.StructField) -> Column:
     return value
 
 
-def _column_map(rows: str, name: str, size: int) -> Column:
-    entries = F.transform(rows, lambda r: F.struct((r[IDX] % size).cast("string"), r[name]))
-    return F.map_from_entries(entries)
+def _as_message(rows: str | Column, names: Sequence[str], size: int) -> Column:
+    """JSON text of an array of rows: per column, a map from row index to value."""
+
+    def cells(name: str) -> Column:
+        entries = F.transform(rows, lambda r: F.struct((r[IDX] % size).cast("string"), r[name]))
+        return F.map_from_entries(entries).alias(name)
+
+    return F.to_json(F.struct(*[cells(name) for name in names]))
 
 
 def pack_chunks(df: DataFrame, size: int = CHUNK_ROWS) -> DataFrame:
@@ -80,15 +85,13 @@ def pack_chunks(df: DataFrame, size: int = CHUNK_ROWS) -> DataFrame:
     their own under the same key.
     """
     fields = [f for f in df.schema if f.name not in (CHUNK, IDX)]
-    row = F.struct(F.col(IDX), *[_json_cell(f).alias(f.name) for f in fields])
+    row = F.struct(F.col(IDX), *[_json_cell(F.col(f.name), f).alias(f.name) for f in fields])
     part = F.floor(F.col(IDX) / size)
     grouped = df.groupBy(CHUNK, part.alias("part")).agg(
         F.array_sort(F.collect_list(row)).alias("rows")
     )
-    columns = [_column_map("rows", f.name, size).alias(f.name) for f in fields]
-    return grouped.select(
-        F.col(CHUNK).cast("string").alias("key"), F.to_json(F.struct(*columns)).alias("value")
-    )
+    value = _as_message("rows", [f.name for f in fields], size)
+    return grouped.select(F.col(CHUNK).cast("string").alias("key"), value.alias("value"))
 
 
 def message_median(cells: Column) -> Column:
@@ -104,38 +107,86 @@ def message_median(cells: Column) -> Column:
     )
 
 
+def _decoded(messages: DataFrame, layout: T.StructType, keep: Sequence[str]) -> DataFrame:
+    return messages.select(*keep, F.from_json("value", chunk_schema(layout)).alias("m"))
+
+
+def _indices() -> Column:
+    """A message has as many rows as start times."""
+    return F.map_keys(F.col("m")["StartTime"])
+
+
+def _cell(field: T.StructField, index: Column) -> Column:
+    return F.try_element_at(F.col("m")[field.name], index)
+
+
 def unpack_chunks(
     messages: DataFrame,
     layout: T.StructType = RAW_FLOW,
     keep: Sequence[str] = ("key",),
     with_median: bool = False,
 ) -> DataFrame:
-    """Chunk messages to typed rows, as many per message as it has start times.
+    """Chunk messages to typed rows. Columns a message lacks are null.
 
-    Columns a message lacks are null. ``with_median`` adds ``message_stos``, the message's own low
-    median of the service byte.
+    ``with_median`` adds ``message_stos``, the message's own low median of the service byte.
     """
-    decoded = messages.select(
-        *keep, F.from_json("value", chunk_schema(layout)).alias("m")
-    )
+    decoded = _decoded(messages, layout, keep)
     if with_median:
         decoded = decoded.withColumn("message_stos", message_median(F.col("m")["sTos"]))
     extra = ["message_stos"] if with_median else []
     # Rows leave the generator as text cells; the whole message is not copied into each of them.
     texts = F.transform(
-        F.map_keys(F.col("m")["StartTime"]),
-        lambda i: F.struct(
-            i.alias(IDX), *[F.try_element_at(F.col("m")[f.name], i).alias(f.name) for f in layout]
-        ),
+        _indices(),
+        lambda i: F.struct(i.alias(IDX), *[_cell(f, i).alias(f.name) for f in layout]),
     )
     rows = decoded.select(*keep, *extra, F.inline(texts))
     cells = [typed_text(F.col(f.name), f.dataType).alias(f.name) for f in layout]
     return rows.select(*keep, F.col(IDX).cast("int").alias(IDX), *extra, *cells)
 
 
+def preprocess_chunks(
+    messages: DataFrame,
+    stos_fill: float | None,
+    layout: T.StructType = RAW_FLOW,
+    keep: Sequence[str] = (),
+    size: int = CHUNK_ROWS,
+) -> DataFrame:
+    """Raw chunk messages to encoded chunk messages, each on its own.
+
+    Messages are neither taken apart nor grouped again, so their keys may be null or repeat and no
+    row is shuffled. Without ``stos_fill`` each message is filled with its own median.
+    """
+    decoded = _decoded(messages, layout, ("key",)).withColumn(
+        "fill", message_median(F.col("m")["sTos"]) if stos_fill is None else F.lit(stos_fill)
+    )
+    names = [*keep, *ENCODED_COLUMNS]
+    kinds = {f.name: f for f in layout}
+    raw = F.transform(
+        _indices(),
+        lambda i: F.struct(
+            i.cast("int").alias(IDX),
+            *[typed_text(_cell(f, i), f.dataType).alias(f.name) for f in layout],
+        ),
+    )
+
+    def encode(r: Column) -> Column:
+        kept = [r[name].alias(name) for name in keep]
+        encoded = encoded_columns(lambda name: r[name], F.col("fill"), ENCODED_COLUMNS)
+        json = [
+            _json_cell(c, kinds[n]).alias(n) if n in kinds and n != "sTos" else c.alias(n)
+            for n, c in zip(names, [*kept, *encoded])
+        ]
+        return F.struct(r[IDX].alias(IDX), *json)
+
+    encoded = decoded.select("key", "fill", raw.alias("raw")).select(
+        "key", F.transform("raw", encode).alias("rows")
+    )
+    return encoded.select("key", _as_message("rows", names, size).alias("value"))
+
+
 def encode_row_json(df: DataFrame, key: str | None = None) -> DataFrame:
     """One flat JSON object per row, with null fields kept."""
-    row = F.struct(*[_json_cell(f).alias(f.name) for f in df.schema])
+    row = F.struct(*[_json_cell(F.col(f.name), f).alias(f.name) for f in df.schema])
     message_key = F.col(key).cast("string") if key else F.lit(None).cast("string")
     return df.select(
         message_key.alias("key"), F.to_json(row, {"ignoreNullFields": "false"}).alias("value")
@@ -149,7 +200,5 @@ def decode_row_json(messages: DataFrame, layout: T.StructType) -> DataFrame:
 
 
 def first_per_chunk(df: DataFrame) -> DataFrame:
-    """Only the row with the lowest index of each chunk."""
-    columns = [c for c in df.columns if c != CHUNK]
-    first = F.min_by(F.struct(*columns), F.col(IDX))
-    return df.groupBy(CHUNK).agg(first.alias("first")).select(CHUNK, "first.*")
+    """Only the first row of each chunk. Indices start at 0 in every chunk, so this is a filter."""
+    return df.where(F.col(IDX) == 0)

@@ -7,13 +7,13 @@ is fitted once by ``fit_stos_fill`` and passed in.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowtide.functions import flow, labels
-from flowtide.operators.quantiles import exact_quantile
+from flowtide.operators.quantiles import column_median
 from flowtide.schema import ENCODED_COLUMNS, LABELLED_TABLE, TRAINING_COLUMNS
 
 
@@ -56,19 +56,25 @@ def cast_stos(df: DataFrame, to: str = "double") -> DataFrame:
     return df.withColumn("sTos", F.col("sTos").try_cast(to))
 
 
-def fit_stos_fill(df: DataFrame, fallback: float = 0.0) -> float:
-    """Exact low median of the service byte, or ``fallback`` where every value is missing."""
-    value = exact_quantile(df.select(flow.stos_number(F.col("sTos")).alias("sTos")), "sTos", 0.5)
+def fit_stos_fill(
+    df: DataFrame, fallback: float = 0.0, rel_error: float | None = None
+) -> float:
+    """Low median of the service byte, or ``fallback`` where every value is missing.
+
+    Exact unless ``rel_error`` allows a value within that share of ranks from the middle.
+    """
+    numbers = df.select(flow.stos_number(F.col("sTos")).alias("sTos"))
+    value = column_median(numbers, "sTos", rel_error)
     return fallback if value is None else value
 
 
-def _filled_stos(fill: float | Column, fallback: float = 0.0) -> Column:
+def _filled_stos(stos: Column, fill: float | Column, fallback: float = 0.0) -> Column:
     fill = fill if isinstance(fill, Column) else F.lit(float(fill))
-    return F.coalesce(flow.stos_number(F.col("sTos")), fill, F.lit(fallback))
+    return F.coalesce(flow.stos_number(stos), fill, F.lit(fallback))
 
 
 def stos_indicator(df: DataFrame, stos_fill: float | Column) -> DataFrame:
-    return df.withColumn("sTosone", flow.stos_one(_filled_stos(stos_fill)))
+    return df.withColumn("sTosone", flow.stos_one(_filled_stos(F.col("sTos"), stos_fill)))
 
 
 def ensure_column(df: DataFrame, name: str, default, position: int) -> DataFrame:
@@ -109,6 +115,24 @@ def one_hot(
     )
 
 
+def encoded_columns(
+    field: Callable[[str], Column], stos_fill: float | Column, names: Sequence[str]
+) -> list[Column]:
+    """Expressions of an encoded layout; ``field`` gives the column or struct field of a raw name."""
+    filled = _filled_stos(field("sTos"), stos_fill)
+    computed = {
+        "Label": labels.label_code(field("Label")),
+        "Proto_tcp": flow.proto_tcp(field("Proto")),
+        "Proto_udp": flow.proto_udp(field("Proto")),
+        "Proto_others": flow.proto_others(field("Proto")),
+        "Dir_one": flow.dir_one(field("Dir")),
+        "Dir_others": flow.dir_others(field("Dir")),
+        "sTosone": flow.stos_one(filled),
+        "sTos": filled,
+    }
+    return [(computed[n] if n in computed else field(n)).alias(n) for n in names]
+
+
 def preprocess_flows(
     df: DataFrame,
     stos_fill: float | Column,
@@ -120,22 +144,8 @@ def preprocess_flows(
     ``layout`` is ``serving`` (21 columns) or ``training`` (without Proto, Dir and sTos); ``keep``
     names further input columns to carry along, such as ``flow_id``.
     """
-    proto, direction = F.col("Proto"), F.col("Dir")
-    filled = _filled_stos(stos_fill)
-    computed = {
-        "Label": labels.label_code(F.col("Label")),
-        "Proto_tcp": flow.proto_tcp(proto),
-        "Proto_udp": flow.proto_udp(proto),
-        "Proto_others": flow.proto_others(proto),
-        "Dir_one": flow.dir_one(direction),
-        "Dir_others": flow.dir_others(direction),
-        "sTosone": flow.stos_one(filled),
-        "sTos": filled,
-    }
-    columns = {"serving": ENCODED_COLUMNS, "training": TRAINING_COLUMNS}[layout]
-    return df.select(
-        *keep, *[computed[c].alias(c) if c in computed else F.col(c) for c in columns]
-    )
+    names = {"serving": ENCODED_COLUMNS, "training": TRAINING_COLUMNS}[layout]
+    return df.select(*keep, *encoded_columns(F.col, stos_fill, names))
 
 
 def normalize_ports(df: DataFrame, columns: Sequence[str] = ("Sport", "Dport")) -> DataFrame:

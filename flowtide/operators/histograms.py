@@ -25,10 +25,12 @@ def value_histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
     value = null_if_nan(F.col(column).cast("double"))
     lo, hi = _range(df, value)
     width = (hi - lo) / F.lit(float(bins))
-    place = F.least(F.floor((value - lo) / F.nullif(width, F.lit(0.0))), F.lit(bins - 1))
+    place = F.when(width == 0, 0).otherwise(
+        F.least(F.floor((value - lo) / width), F.lit(bins - 1))
+    )
     counts = (
         df.where(value.isNotNull())
-        .groupBy(F.coalesce(place, F.lit(0)).cast("int").alias("bin"))
+        .groupBy(place.cast("int").alias("bin"))
         .agg(F.count("*").alias("n"))
     )
     return counts.select(

@@ -9,14 +9,16 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+from pyspark import StorageLevel
 from pyspark.ml import Transformer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from flowtide.operators.aggregates import accuracy
-from flowtide.operators.chunks import CHUNK, IDX, decode_row_json, encode_row_json, pack_chunks
-from flowtide.operators.chunks import unpack_chunks
+from flowtide.operators.chunks import (
+    IDX, decode_row_json, encode_row_json, first_per_chunk, preprocess_chunks, unpack_chunks,
+)
 from flowtide.operators.encode import fit_stos_fill, preprocess_flows, to_table_row
 from flowtide.operators.learning import score_flows
 from flowtide.schema import ENCODED_FLOW, LABELLED_FLOW, RAW_FLOW
@@ -28,9 +30,12 @@ AVAILABLE_NOW: Mapping[str, object] = {"availableNow": True}
 # Ways to fill a missing service byte other than a given value.
 MESSAGE_MEDIAN, BATCH_MEDIAN = "message_median", "batch_median"
 
+# Encoded flows travel one per message or as chunks.
+ROWS, CHUNKS = "rows", "chunks"
+
 
 def preprocess_messages(
-    messages: DataFrame, stos_fill: float | str = MESSAGE_MEDIAN, layout=RAW_FLOW, keep=()
+    messages: DataFrame, stos_fill: float | str, layout=RAW_FLOW, keep=()
 ) -> DataFrame:
     """Chunk messages to encoded rows.
 
@@ -43,38 +48,54 @@ def preprocess_messages(
     return preprocess_flows(rows, fill, keep=keep)
 
 
-def decode_encoded(messages: DataFrame, encoded_as: str = "rows", layout=ENCODED_FLOW) -> DataFrame:
-    """Encoded rows from row messages or from chunk messages."""
-    if encoded_as == "chunks":
-        return unpack_chunks(messages, layout).drop("key", IDX)
-    return decode_row_json(messages, layout)
+def decode_encoded(
+    messages: DataFrame, encoded_as: str = ROWS, layout=ENCODED_FLOW, first_only: bool = False
+) -> DataFrame:
+    """Encoded rows from row messages or from chunk messages.
+
+    ``first_only`` keeps the first row of each chunk message and drops the others.
+    """
+    if encoded_as == ROWS:
+        return decode_row_json(messages, layout)
+    rows = unpack_chunks(messages, layout)
+    return (first_per_chunk(rows) if first_only else rows).drop("key", IDX)
 
 
 def run_preprocess_stream(
     messages: DataFrame,
+    stos_fill: float | str,
     sink: str,
     options: Mapping[str, str],
     checkpoint: str,
-    stos_fill: float | str = MESSAGE_MEDIAN,
     trigger: Mapping[str, object] = AVAILABLE_NOW,
     layout=RAW_FLOW,
     keep=(),
+    encoded_as: str = ROWS,
 ) -> StreamingQuery:
-    """Raw chunk messages to encoded row messages; stateless unless ``batch_median`` is asked for."""
-    if stos_fill != BATCH_MEDIAN:
-        rows = preprocess_messages(messages, stos_fill, layout, keep)
-        return stream_sink_topic(
-            encode_row_json(rows), sink, options, checkpoint, trigger, "preprocess"
-        ).start()
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        encoded = encode_row_json(batch_median_fill(unpack_chunks(batch, layout), keep=keep))
-        _write_batch(encoded, batch_id, sink, options)
+    """Raw chunk messages to encoded messages, one per flow or one per chunk.
 
-    return (
-        messages.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-        .trigger(**trigger).queryName("preprocess").start()
-    )
+    Stateless. With ``batch_median`` the fill comes from each micro-batch, which takes extra passes
+    over it; the other fills take none.
+    """
+    if stos_fill == BATCH_MEDIAN:
+        def write(batch: DataFrame, batch_id: int) -> None:
+            rows = unpack_chunks(batch, layout).persist(StorageLevel.MEMORY_AND_DISK)
+            try:
+                encoded = encode_row_json(batch_median_fill(rows, keep=keep))
+                _write_batch(encoded, batch_id, sink, options)
+            finally:
+                rows.unpersist()
+
+        return (
+            messages.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+            .trigger(**trigger).queryName("preprocess").start()
+        )
+    if encoded_as == CHUNKS:
+        fill = None if stos_fill == MESSAGE_MEDIAN else stos_fill
+        encoded = preprocess_chunks(messages, fill, layout, keep)
+    else:
+        encoded = encode_row_json(preprocess_messages(messages, stos_fill, layout, keep))
+    return stream_sink_topic(encoded, sink, options, checkpoint, trigger, "preprocess").start()
 
 
 def _write_batch(batch: DataFrame, batch_id: int, sink: str, options: Mapping[str, str]) -> None:
@@ -91,11 +112,6 @@ def batch_median_fill(rows: DataFrame, fallback: float = 0.0, keep=()) -> DataFr
     return preprocess_flows(rows, fit_stos_fill(rows, fallback), keep=keep)
 
 
-def repack_batch(rows: DataFrame) -> DataFrame:
-    """Encoded rows of a batch back to chunk messages, by the key of the message they came in."""
-    return pack_chunks(rows.withColumnRenamed("key", CHUNK))
-
-
 def run_score_stream(
     messages: DataFrame,
     model: Transformer,
@@ -103,11 +119,12 @@ def run_score_stream(
     options: Mapping[str, str],
     checkpoint: str,
     trigger: Mapping[str, object] = AVAILABLE_NOW,
-    encoded_as: str = "rows",
+    encoded_as: str = ROWS,
     layout=ENCODED_FLOW,
+    first_only: bool = False,
 ) -> StreamingQuery:
     """Encoded messages to labelled row messages, one per flow. The model is loaded once, outside."""
-    labelled = score_flows(decode_encoded(messages, encoded_as, layout), model)
+    labelled = score_flows(decode_encoded(messages, encoded_as, layout, first_only), model)
     return stream_sink_topic(
         encode_row_json(labelled), sink, options, checkpoint, trigger, "score"
     ).start()
