@@ -25,7 +25,7 @@ from flowtide.schema import (
 )
 from flowtide.session import scratch_path
 from flowtide.sources import files, topics
-from flowtide.sources.events import FLOWS_SQL, RULE, flows_of, read_flows
+from flowtide.sources.events import FLOWS_SQL, RULE, flows_of, read_flows, stream_events
 from flowtide.streaming import jobs, live
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -724,13 +724,10 @@ def _batch_accuracy(spark, sf_dir):
 @_register("live_flow_counts", """select time_bucket(interval '6 hours', StartTime) as window_start, Proto,
     prediction, count(*) as n from flows group by 1, 2, 3""")
 def _live_flow_counts(spark, sf_dir):
-    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    events = (
-        spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    )
     out = scratch_path(spark, "live")
     live.run_live_counts(
-        flows_of(events), out, scratch_path(spark, "checkpoint"), width="6 hours"
+        flows_of(stream_events(spark, sf_dir)), out, scratch_path(spark, "checkpoint"),
+        width="6 hours",
     ).awaitTermination()
     return live.read_live_counts(spark, out)
 

@@ -68,14 +68,13 @@ def _json_cell(value: Column, field: T.StructField) -> Column:
     return value
 
 
-def _as_message(rows: str | Column, names: Sequence[str], size: int) -> Column:
-    """JSON text of an array of rows: per column, a map from row index to value."""
-
-    def cells(name: str) -> Column:
-        entries = F.transform(rows, lambda r: F.struct((r[IDX] % size).cast("string"), r[name]))
-        return F.map_from_entries(entries).alias(name)
-
-    return F.to_json(F.struct(*[cells(name) for name in names]))
+def _as_messages(chunks: DataFrame, names: Sequence[str], size: int) -> DataFrame:
+    """(key, value) messages of arrays of rows; a value maps row index to value per column."""
+    keyed = chunks.withColumn(
+        "keys", F.transform(F.col("rows")[IDX], lambda i: (i % size).cast("string"))
+    )
+    columns = [F.map_from_arrays("keys", F.col("rows")[n]).alias(n) for n in names]
+    return keyed.select("key", F.to_json(F.struct(*columns)).alias("value"))
 
 
 def pack_chunks(df: DataFrame, size: int = CHUNK_ROWS) -> DataFrame:
@@ -87,11 +86,10 @@ def pack_chunks(df: DataFrame, size: int = CHUNK_ROWS) -> DataFrame:
     fields = [f for f in df.schema if f.name not in (CHUNK, IDX)]
     row = F.struct(F.col(IDX), *[_json_cell(F.col(f.name), f).alias(f.name) for f in fields])
     part = F.floor(F.col(IDX) / size)
-    grouped = df.groupBy(CHUNK, part.alias("part")).agg(
+    grouped = df.groupBy(F.col(CHUNK).cast("string").alias("key"), part.alias("part")).agg(
         F.array_sort(F.collect_list(row)).alias("rows")
     )
-    value = _as_message("rows", [f.name for f in fields], size)
-    return grouped.select(F.col(CHUNK).cast("string").alias("key"), value.alias("value"))
+    return _as_messages(grouped, [f.name for f in fields], size)
 
 
 def message_median(cells: Column) -> Column:
@@ -181,7 +179,7 @@ def preprocess_chunks(
     encoded = decoded.select("key", "fill", raw.alias("raw")).select(
         "key", F.transform("raw", encode).alias("rows")
     )
-    return encoded.select("key", _as_message("rows", names, size).alias("value"))
+    return _as_messages(encoded, names, size)
 
 
 def encode_row_json(df: DataFrame, key: str | None = None) -> DataFrame:

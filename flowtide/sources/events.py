@@ -50,6 +50,13 @@ def read_flows(spark: SparkSession, data_dir: str) -> DataFrame:
     return flows_of(events)
 
 
+def stream_events(spark: SparkSession, data_dir: str) -> DataFrame:
+    """The same table as a stream, whether it is one file or a folder of files."""
+    schema = spark.read.parquet(f"{data_dir}/events.parquet").schema
+    # A streaming path must be a folder or, as here, a pattern.
+    return spark.readStream.schema(schema).parquet(f"{data_dir}/event[s].parquet")
+
+
 def flows_of(events: DataFrame) -> DataFrame:
     """Works on a batch and on a stream of events alike."""
     return events.sparkSession.sql(FLOWS_SQL, events=events)
