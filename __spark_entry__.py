@@ -604,7 +604,25 @@ def _train_flow_classifier(spark, sf_dir):
     return training.train_from_flows(read_flows(spark, sf_dir)).evaluation
 
 
+def _rule_model() -> SQLTransformer:
+    """A model with a fixed rule, so that scored rows and streams can be checked exactly."""
+    return SQLTransformer(statement=f"SELECT *, {RULE} AS prediction FROM __THIS__")
+
+
+@_register("score_flows", f"select flow_id, {_columns(LABELLED_COLUMNS)} from flows")
+def _score_flows(spark, sf_dir):
+    return learning.score_flows(_preprocess_flows(spark, sf_dir), _rule_model())
+
+
+@_register("evaluate_flows", f"""select count(c) as n, round(avg(c), 6) as accuracy from (
+    select cast(prediction = try_cast({_LABEL} as int) as double) as c from flows)""")
+def _evaluate_flows(spark, sf_dir):
+    evaluation = learning.evaluate_flows(_preprocess_flows(spark, sf_dir), _rule_model())
+    return _rounded(evaluation, "accuracy")
+
+
 def _scored(spark, sf_dir, **options) -> DataFrame:
+    """Flows scored by a model that was fitted, saved and loaded."""
     flows = read_flows(spark, sf_dir).drop("prediction")
     trained = training.train_from_flows(flows, **options)
     path = scratch_path(spark, "model")
@@ -613,8 +631,8 @@ def _scored(spark, sf_dir, **options) -> DataFrame:
     return learning.score_flows(encoded, files.load_model(path))
 
 
-@_register("score_flows")
-def _score_flows(spark, sf_dir):
+@_register("score_flows_forest")
+def _score_flows_forest(spark, sf_dir):
     return _scored(spark, sf_dir)
 
 
@@ -623,18 +641,8 @@ def _score_flows_boosted(spark, sf_dir):
     return _scored(spark, sf_dir, method="boosted", trees=5)
 
 
-@_register("evaluate_flows")
-def _evaluate_flows(spark, sf_dir):
-    return aggregates.confusion_counts(_scored(spark, sf_dir, trees=20))
-
-
 # ---- Streams ---------------------------------------------------------------------------------
 
-def _rule_model() -> SQLTransformer:
-    """A model with a fixed rule, so that a scored stream can be checked exactly."""
-    return SQLTransformer(statement=f"SELECT *, {RULE} AS prediction FROM __THIS__")
-
-
 def _message_stream(spark, messages: DataFrame) -> DataFrame:
     path = scratch_path(spark, "messages")
     messages.write.parquet(path)
@@ -710,6 +718,18 @@ def _stream_sink_table(spark, sf_dir):
     return files.read_labelled(spark, out)
 
 
+@_register("run_fused_stream",
+           f"select {_TABLE_ROW}, cast(StartTime as date) as dt from flows")
+def _run_fused_stream(spark, sf_dir):
+    fill = encode.fit_stos_fill(read_flows(spark, sf_dir))
+    out = scratch_path(spark, "fused-table")
+    jobs.run_fused_stream(
+        _message_stream(spark, _packed(spark, sf_dir)), fill, _rule_model(), out,
+        scratch_path(spark, "checkpoint"),
+    ).awaitTermination()
+    return files.read_labelled(spark, out)
+
+
 @_register("batch_accuracy", f"""select 0 as batch_id, count(c) as n, round(avg(c), 6) as accuracy
     from (select cast(prediction = try_cast({_LABEL} as int) as double) as c from flows)""")
 def _batch_accuracy(spark, sf_dir):

@@ -46,3 +46,13 @@ def split_train_val_test(df: DataFrame, key: str = "flow_id", seed: int = 42):
         marked.where(F.col("split") == name).drop("split")
         for name in ("train", "validation", "test")
     )
+
+
+def train_val_and_test(df: DataFrame, key: str = "flow_id", seed: int = 42):
+    """What ``union_train_val`` makes of a split, in one scan instead of two, and the test rows."""
+    marked = with_split(df, key, seed)
+    split = F.col("split")
+    fitted = marked.where(split != "test").withColumns(
+        {"isVal": split == "validation", "weight": F.lit(1.0)}
+    )
+    return fitted.drop("split"), marked.where(split == "test").drop("split")

@@ -1,70 +1,72 @@
 """Exact and approximate quantiles.
 
-The exact quantile never gathers a column in one place. Each pass asks a bounded sketch for two
-values close below and above the wanted rank and counts the rows around them; the counts are exact,
-so whatever the sketch returns, the search goes on in an interval that is known to hold the answer.
-An interval keeps about a thousandth of its rows per pass, and values that many rows share are
-settled by the counts alone. Only when at most ``accuracy`` rows are left are they sorted.
+The exact quantile never gathers a column in one place. Each pass counts the values of an interval
+in equal-width bins, along with the least and greatest value of each bin, and goes on inside the one
+bin that holds the wanted rank. Counting combines within each task first, so a pass shuffles at most
+``bins`` rows per task, and a value that many rows share fills one bin by itself and ends the search.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowtide.functions.flow import null_if_nan
 
 
-def _clean(df: DataFrame, column: str):
+def _clean(df: DataFrame, column: str) -> DataFrame:
     value = F.col(column)
     if df.schema[column].dataType.simpleString() in ("double", "float"):
-        value = null_if_nan(value)
+        value = null_if_nan(value.cast("double"))
     return df.select(value.alias("v")).where(F.col("v").isNotNull())
 
 
-def exact_quantile(df: DataFrame, column: str, p: float = 0.5, accuracy: int = 10_000):
-    """Smallest value whose cumulative share is at least ``p``; null and NaN are left out."""
+def _bin_of(v: Column, lo, hi, bins: int) -> Column:
+    """Bin numbers that never decrease with the value; both ends fall in different bins."""
+    width = float(hi) / bins - float(lo) / bins
+    if width > 0:
+        offset = v.cast("double") / F.lit(width) - F.lit(float(lo) / width)
+        return F.least(F.floor(offset), F.lit(bins - 1))
+    return _halves(v, lo, hi)
+
+
+def _halves(v: Column, lo, hi) -> Column:
+    middle = lo + (hi - lo) // 2 if isinstance(lo, int) else lo / 2 + hi / 2
+    if not lo <= middle < hi:
+        middle = lo
+    return (v > F.lit(middle)).cast("long")
+
+
+def exact_quantile(df: DataFrame, column: str, p: float = 0.5, bins: int = 4096):
+    """Smallest value of a numeric column whose cumulative share is at least ``p``.
+
+    Null and NaN are left out; without any value the result is None.
+    """
     v = F.col("v")
     rows = _clean(df, column)
-    total, rank = None, None
-    margin = 4 / accuracy
-    share = p
-    while True:
-        probes = F.percentile_approx(
-            v, [max(share - margin, 0.0), min(share + margin, 1.0)], accuracy
+    held = rows.agg(F.count(v).alias("n"), F.min(v).alias("lo"), F.max(v).alias("hi")).first()
+    if held.n == 0:
+        return None
+    rank = max(math.ceil(p * held.n), 1)
+    lo, hi = held.lo, held.hi
+    place = _bin_of(v, lo, hi, bins)
+    # At most ``bins`` rows reach this window, whatever the size of the table.
+    upto = F.sum("n").over(Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0))
+    while lo != hi:
+        counted = (
+            rows.groupBy(place.alias("bin"))
+            .agg(F.count(v).alias("n"), F.min(v).alias("lo"), F.max(v).alias("hi"))
+            .withColumn("upto", upto)
         )
-        seen = rows.agg(F.count(v).alias("n"), probes.alias("probes")).first()
-        if seen.n == 0:
-            return None
-        if rank is None:
-            rank = max(math.ceil(p * seen.n), 1)
-        lo, hi = seen.probes
-        cut = rows.agg(
-            *[
-                F.count_if(test).alias(name)
-                for name, test in {
-                    "lt_lo": v < lo, "le_lo": v <= lo, "lt_hi": v < hi, "le_hi": v <= hi
-                }.items()
-            ]
-        ).first()
-        if cut.lt_lo < rank <= cut.le_lo:
-            return lo
-        if cut.lt_hi < rank <= cut.le_hi:
-            return hi
-        if rank <= cut.lt_lo:
-            rows, total = rows.where(v < lo), cut.lt_lo
-        elif rank <= cut.lt_hi:
-            rows, total = rows.where((v > lo) & (v < hi)), cut.lt_hi - cut.le_lo
-            rank -= cut.le_lo
-        else:
-            rows, total = rows.where(v > hi), seen.n - cut.le_hi
-            rank -= cut.le_hi
-        if total <= accuracy:
-            ordered = F.array_sort(F.collect_list(v))
-            return rows.agg(F.element_at(ordered, rank).alias("v")).first().v
-        share = rank / total
+        found = counted.where(F.col("upto") >= rank).orderBy("bin").first()
+        rank -= found.upto - found.n
+        stuck = (found.lo, found.hi) == (lo, hi)
+        lo, hi = found.lo, found.hi
+        place = _halves(v, lo, hi) if stuck else _bin_of(v, lo, hi, bins)
+        rows = rows.where(v.between(F.lit(lo), F.lit(hi)))
+    return lo
 
 
 def column_median(df: DataFrame, column: str, rel_error: float | None = None):

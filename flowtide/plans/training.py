@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 
-from flowtide.operators.combine import split_train_val_test, union_train_val
+from flowtide.operators.combine import train_val_and_test
 from flowtide.operators.encode import fit_stos_fill, preprocess_flows
 from flowtide.operators.learning import evaluate_flows, train_flow_classifier
 
@@ -28,6 +28,6 @@ def train_from_flows(
     """
     fill = fit_stos_fill(flows)
     encoded = preprocess_flows(flows, fill, layout="training", keep=[key])
-    train, validation, test = split_train_val_test(encoded, key, seed)
-    model = train_flow_classifier(union_train_val(train, validation), seed=seed, **options)
+    fitted, test = train_val_and_test(encoded, key, seed)
+    model = train_flow_classifier(fitted, seed=seed, **options)
     return Trained(model, fill, evaluate_flows(test, model))

@@ -29,3 +29,6 @@ def test_split_shares_and_union(spark):
     both = combine.union_train_val(train, validation)
     assert both.where("isVal").count() == counts[1]
     assert both.where("not isVal and weight = 1.0").count() == counts[0]
+    at_once, rest = combine.train_val_and_test(flows)
+    assert rows(at_once.select(both.columns)) == rows(both)
+    assert rows(rest) == rows(test)

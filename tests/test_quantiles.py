@@ -18,9 +18,11 @@ def low(values, p):
 
 
 @pytest.mark.parametrize("p", [0.0, 0.25, 0.5, 0.9, 1.0])
-@pytest.mark.parametrize("shape", ["spread", "two_hot_values", "hot_middle", "constant", "tiny"])
+@pytest.mark.parametrize(
+    "shape", ["spread", "two_hot_values", "hot_middle", "constant", "tiny", "outliers", "widest"]
+)
 def test_equals_sorting(spark, shape, p):
-    # A coarse sketch forces several narrowing passes, and the hot values hold a third of all rows.
+    # Few bins force several narrowing passes, and the hot values hold a third of all rows.
     pick = random.Random(7)
     values = {
         "spread": [pick.uniform(-5, 5) for _ in range(3000)],
@@ -28,8 +30,10 @@ def test_equals_sorting(spark, shape, p):
         "hot_middle": [5.0] * 1000 + [pick.uniform(0, 10) for _ in range(2000)],
         "constant": [4.0] * 500,
         "tiny": [3.0, 1.0, 2.0, 4.0],
+        "outliers": [-1e300, 1e300] + [1 + i * 2.0**-52 for i in range(50)],
+        "widest": [-1.7e308, 1.7e308, 0.0, 5e-324, -5e-324],
     }[shape]
-    assert exact_quantile(frame(spark, values), "x", p, accuracy=40) == low(values, p)
+    assert exact_quantile(frame(spark, values), "x", p, bins=16) == low(values, p)
 
 
 def test_null_and_nan_are_left_out(spark):
@@ -44,6 +48,9 @@ def test_nothing_to_rank(spark):
 def test_integers_keep_their_type(spark):
     big = 2**53 + 1
     assert column_median(frame(spark, [big, big - 2, big + 5], "bigint"), "x") == big
+    far = [2**63 - 1, -(2**63), 2**63 - 2, 2**63 - 3, 7]
+    for p in (0.0, 0.3, 0.5, 0.7, 1.0):
+        assert exact_quantile(frame(spark, far, "bigint"), "x", p) == low(far, p)
 
 
 def test_relative_error_stays_within_its_ranks(spark):
