@@ -645,7 +645,8 @@ def _score_flows_boosted(spark, sf_dir):
 
 def _message_stream(spark, messages: DataFrame) -> DataFrame:
     path = scratch_path(spark, "messages")
-    messages.write.parquet(path)
+    # Messages lie in several files, as those of a topic lie in several partitions.
+    messages.repartition(spark.sparkContext.defaultParallelism).write.parquet(path)
     return topics.stream_flows(spark, "parquet", {}, path)
 
 

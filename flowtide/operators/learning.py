@@ -75,6 +75,12 @@ def _boosted(rounds: int, depth: int, seed: int) -> list:
     ]
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """Few large input files would leave cores idle in every training pass; spread their rows."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def train_flow_classifier(
     train: DataFrame,
     method: str = "forest",
@@ -95,7 +101,7 @@ def train_flow_classifier(
             {f"is_{c}": F.when(F.col(_CLASS) == c, 1.0).otherwise(0.0) for c in CATEGORY_NAMES}
         )
     inputs = [c for c in rows.columns if c.startswith((_INPUT, "is_", _CLASS))]
-    narrow = rows.select(*inputs, "isVal", "weight")
+    narrow = _spread(rows.select(*inputs, "isVal", "weight"))
     # Every tree level is a pass over these rows. They may spill to disk and are rebuilt if lost.
     narrow.persist(StorageLevel.MEMORY_AND_DISK)
     try:
