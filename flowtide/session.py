@@ -19,11 +19,12 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.conf.get(_CHECKPOINT_DIR, None)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise RuntimeError(f"set {_CHECKPOINT_DIR} to a folder that all executors share")
-    own = tempfile.mkdtemp(prefix="flowtide-")
-    spark.conf.set(_CHECKPOINT_DIR, own)
-    return own
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="flowtide-"))
+    return context.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -31,6 +31,14 @@ def test_raw_log_with_other_column_order_and_notations(spark, tmp_path):
     assert second.TotBytes == 1585303458
 
 
+def test_files_with_unlike_headers_are_refused(spark, tmp_path):
+    encoded = preprocess_flows(raw_flows(spark, {}), 0.0, layout="training")
+    files.write_flows(encoded, str(tmp_path / "in" / "a"))
+    files.write_flows(encoded.select(*reversed(encoded.columns)), str(tmp_path / "in" / "b"))
+    with pytest.raises(Exception, match="CSV header"):
+        files.read_training_flows(spark, str(tmp_path / "in" / "*")).collect()
+
+
 def test_training_file_round_trip(spark, tmp_path):
     encoded = preprocess_flows(raw_flows(spark, {}, {"Sport": None}), 0.0, layout="training")
     files.write_training_flows(encoded, str(tmp_path / "out"))
@@ -65,16 +73,34 @@ def test_scratch_lies_in_the_shared_folder(spark):
     assert one.startswith(named) and one != two
 
 
-def test_no_local_folder_on_a_cluster():
-    class Conf:
-        def get(self, name, default):
-            return default
+class UnnamedConf:
+    def get(self, name, default):
+        return default
+
+
+class Context:
+    def __init__(self, master):
+        self.master, self.folder = master, None
+
+    def getCheckpointDir(self):
+        return self.folder
 
-    class Context:
-        master = "spark://host:7077"
+    def setCheckpointDir(self, folder):
+        self.folder = folder
 
-    class Session:
-        conf, sparkContext = Conf(), Context()
 
+class Session:
+    def __init__(self, master):
+        self.conf, self.sparkContext = UnnamedConf(), Context(master)
+
+
+def test_no_local_folder_on_a_cluster():
     with pytest.raises(RuntimeError):
-        shared_dir(Session())
+        shared_dir(Session("spark://host:7077"))
+
+
+def test_a_local_session_without_a_named_folder_gets_one(tmp_path, monkeypatch):
+    monkeypatch.setattr("tempfile.tempdir", str(tmp_path))
+    session = Session("local[2]")
+    assert shared_dir(session).startswith(str(tmp_path))
+    assert shared_dir(session) == shared_dir(session)
