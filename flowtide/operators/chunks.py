@@ -49,9 +49,15 @@ def number_rows(df: DataFrame, order: Sequence[str]) -> DataFrame:
 
 
 def assign_chunks(
-    df: DataFrame, order: Sequence[str] = ("StartTime", "flow_id"), size: int = CHUNK_ROWS
+    df: DataFrame, order: Sequence[str] | None = None, size: int = CHUNK_ROWS
 ) -> DataFrame:
-    """Add the chunk number and the index in the chunk for ``size`` consecutive rows each."""
+    """Add the chunk number and the index in the chunk for ``size`` consecutive rows each.
+
+    Rows are taken by start time, then by ``flow_id`` or, where there is none, by all columns.
+    """
+    if order is None:
+        ties = ["flow_id"] if "flow_id" in df.columns else df.columns
+        order = list(dict.fromkeys(["StartTime", *ties]))
     row = F.col("row")
     return (
         number_rows(df, order)

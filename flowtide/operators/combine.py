@@ -24,13 +24,17 @@ def union_train_val(train: DataFrame, validation: DataFrame) -> DataFrame:
     return with_train_flags(train, False).unionByName(with_train_flags(validation, True))
 
 
-def with_split(df: DataFrame, key: str = "flow_id", seed: int = 42) -> DataFrame:
+def with_split(df: DataFrame, key: str | None = None, seed: int = 42) -> DataFrame:
     """Name each row's split: about 70 % train, 15 % validation, 15 % test.
 
     The split follows from the key and the seed alone. It stays the same however the data is
-    partitioned or retried, and any SQL engine with MD5 can repeat it.
+    partitioned or retried, and any SQL engine with MD5 can repeat it. Without a key it follows from
+    ``flow_id``, or from the whole row where there is none, so equal rows share a split.
     """
-    digest = F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}")).cast("binary"))
+    if key is None and "flow_id" in df.columns:
+        key = "flow_id"
+    value = F.xxhash64(*df.columns) if key is None else F.col(key)
+    digest = F.md5(F.concat(value.cast("string"), F.lit(f":{seed}")).cast("binary"))
     percent = F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % 100
     return df.withColumn(
         "split",
@@ -40,7 +44,7 @@ def with_split(df: DataFrame, key: str = "flow_id", seed: int = 42) -> DataFrame
     )
 
 
-def split_train_val_test(df: DataFrame, key: str = "flow_id", seed: int = 42):
+def split_train_val_test(df: DataFrame, key: str | None = None, seed: int = 42):
     marked = with_split(df, key, seed)
     return tuple(
         marked.where(F.col("split") == name).drop("split")
@@ -48,7 +52,7 @@ def split_train_val_test(df: DataFrame, key: str = "flow_id", seed: int = 42):
     )
 
 
-def train_val_and_test(df: DataFrame, key: str = "flow_id", seed: int = 42):
+def train_val_and_test(df: DataFrame, key: str | None = None, seed: int = 42):
     """What ``union_train_val`` makes of a split, in one scan instead of two, and the test rows."""
     marked = with_split(df, key, seed)
     split = F.col("split")

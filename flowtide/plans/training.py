@@ -20,14 +20,16 @@ class Trained:
 
 
 def train_from_flows(
-    flows: DataFrame, key: str = "flow_id", seed: int = 42, **options
+    flows: DataFrame, key: str | None = None, seed: int = 42, **options
 ) -> Trained:
     """Encode, split 70/15/15, fit on train and validation, evaluate on the test rows.
 
     The fitted fill for the service byte belongs to the model: pass it to the preprocessing stream.
     """
     fill = fit_stos_fill(flows)
-    encoded = preprocess_flows(flows, fill, layout="training", keep=[key])
+    if key is None and "flow_id" in flows.columns:
+        key = "flow_id"
+    encoded = preprocess_flows(flows, fill, layout="training", keep=[key] if key else [])
     fitted, test = train_val_and_test(encoded, key, seed)
     model = train_flow_classifier(fitted, seed=seed, **options)
     return Trained(model, fill, evaluate_flows(test, model))

@@ -30,6 +30,12 @@ def test_chunks_are_consecutive(spark, count):
     assert rows(numbered.select("flow_id", "chunk", "idx")) == sorted(expected, key=repr)
 
 
+def test_chunks_of_flows_without_an_id(spark):
+    flows = many(spark, 35).drop("flow_id")
+    places = chunks.assign_chunks(flows.repartition(5)).select("chunk", "idx")
+    assert rows(places) == sorted(((i // 10, i % 10) for i in range(35)), key=repr)
+
+
 def test_round_trip(spark):
     flows = raw_flows(
         spark,

@@ -32,3 +32,11 @@ def test_split_shares_and_union(spark):
     at_once, rest = combine.train_val_and_test(flows)
     assert rows(at_once.select(both.columns)) == rows(both)
     assert rows(rest) == rows(test)
+
+
+def test_split_without_a_key_follows_the_whole_row(spark):
+    flows = raw_flows(spark, *[{"TotPkts": i % 500} for i in range(1000)]).drop("flow_id")
+    marked = combine.with_split(flows.repartition(3))
+    per_row = marked.groupBy("TotPkts").agg(F.count_distinct("split").alias("n"))
+    assert per_row.where("n > 1").count() == 0
+    assert marked.where("split = 'train'").count() == pytest.approx(700, rel=0.1)

@@ -32,6 +32,11 @@ def test_training_learns_and_leaves_out_unlabelled_rows(forest):
     assert row.accuracy == 1.0 and 0 < row.n <= 240
 
 
+def test_raw_logs_need_no_key(spark):
+    trained = train_from_flows(separable(spark).drop("flow_id"), trees=3)
+    assert trained.stos_fill == 0.0 and trained.evaluation.first().n > 0
+
+
 def test_scoring_keeps_rows_and_columns_after_save_and_load(spark, forest, tmp_path):
     save_model(forest.model, str(tmp_path / "model"))
     flows = separable(spark)
