@@ -753,6 +753,26 @@ def _live_flow_counts(spark, sf_dir):
     return live.read_live_counts(spark, out)
 
 
+# ---- The training-data operators, where their subpackage is installed -------------------------
+
+try:
+    from flowtide.llm import queries as llm_queries
+except ImportError:
+    pass
+else:
+    _QUERIES.update(llm_queries.QUERIES)
+    _ORACLES.update(llm_queries.ORACLES)
+
+try:
+    import corpus_pipeline
+except ImportError:
+    pass
+else:
+    _QUERIES["pipeline"] = corpus_pipeline.run
+    if corpus_pipeline.ORACLE_SQL is not None:
+        _ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
+
+
 # ---- The three functions of the contract -----------------------------------------------------
 
 def entry(spark: SparkSession) -> DataFrame:
