@@ -55,6 +55,15 @@ def store(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+SMALL_ROWS = 1 << 20
+
+
+def stored_side(df: DataFrame, name: str, rows: int = SMALL_ROWS) -> DataFrame:
+    """Store one side of a join; mark it for broadcast if it has been counted to have few rows."""
+    stored = store(df, name)
+    return F.broadcast(stored) if stored.count() <= rows else stored
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A to Z only; all other characters stay."""
     return F.translate(text, UPPER, LOWER)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowtide.llm import lm, sql
+from flowtide.llm import decontamination, exact_dedup, lm, sharding, sql
 from flowtide.llm.common import documents, ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,3 +50,50 @@ def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(model.n_tokens).cast("long").alias("train_tokens"),
         F.round("base_score", 6).alias("base_score"), F.round("score", 6).alias("score"),
     )
+
+
+@_register("op3_exact_dedup", """select doc_id, max(doc_id) over same as keep_id, count(*) over same as group_size,
+    doc_id = max(doc_id) over same as kept, sha256(coalesce(text, '')) as text_sha256
+from documents window same as (partition by coalesce(text, ''))""")
+def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    digest = docs.withColumn("text_sha256", F.sha2(F.coalesce("text", F.lit("")), 256))
+    return exact_dedup.classes(digest, keep="largest").select(
+        "doc_id", "keep_id", "group_size", "kept", "text_sha256"
+    )
+
+
+@_register("op5_sharding")
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sharded = sharding.shard(documents(spark, sf_dir).select("doc_id", "text"), 8)
+    return sharded.select(
+        "doc_id", sharding.record_size(F.col("text")).alias("size"),
+        F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"), F.lit(sharding.LAW).alias("law"),
+        "shard", "slot", F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+_PHRASE_WORDS = "regexp_extract_all(" + sql.LOWER.format("coalesce(text, '')") + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+@_register("op7_decontamination", f"""with
+items as (select cast(item_id as varchar) as item, {_PHRASE_WORDS} as w from benchmark),
+phrases as (select distinct item, w[i : i + least(10, len(w)) - 1] as p from (select item, w,
+    unnest(range(1, greatest(len(w) - 9, 1) + 1)) as i from items where len(w) > 0)),
+sizes as (select distinct len(p) as n from phrases),
+docs as (select doc_id, {_PHRASE_WORDS} as w from documents),
+places as (select doc_id, n, i, w[i : i + n - 1] as p from (select doc_id, w, n,
+    unnest(range(1, greatest(len(w) - n + 1, 0) + 1)) as i from docs cross join sizes)),
+hits as (select doc_id, n, i, item from places join phrases using (p)),
+covered as (select doc_id, count(distinct x) as n_hit from (select doc_id, unnest(range(i, i + n)) as x from hits) group by doc_id),
+found as (select doc_id, count(distinct item) as n_items, string_agg(distinct item, ',' order by item) as ids from hits group by doc_id)
+select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+    sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from docs left join covered using (doc_id) left join found using (doc_id)""")
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tests = decontamination.phrases(spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    index, terms = decontamination.build(documents(spark, sf_dir), tests)
+    return decontamination.report(index, decontamination.search(index, terms, tests)).select(
+        F.col("key").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated",
+    )
