@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowtide.llm import decontamination, exact_dedup, lm, sharding, sql
+from flowtide.llm import decontamination, exact_dedup, lm, sharding, simhash, sql
 from flowtide.llm.common import documents, ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -97,3 +97,10 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("key").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated",
     )
+
+
+@_register("op9_simhash_near_dedup")
+def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.classes(documents(spark, sf_dir)).select(
+        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), F.col("component").alias("component_id")
+    )
