@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowtide.llm import decontamination, exact_dedup, lm, sharding, simhash, sql
+from flowtide.llm import decontamination, exact_dedup, lm, pieces, sharding, simhash, sql
 from flowtide.llm.common import documents, ship
 
+PIECES = "/opt/tokenizers/piece_bpe_32k.model"
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -104,3 +106,13 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.classes(documents(spark, sf_dir)).select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), F.col("component").alias("component_id")
     )
+
+
+@_register("op10_sentencepiece")
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = pieces.load(spark, PIECES)
+    encoded = pieces.encode(documents(spark, sf_dir).select("doc_id", "text"), model)
+    return pieces.decode(encoded, model).select(
+        "doc_id", "ids", F.size("ids").cast("long").alias("n_ids"),
+        F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"),
+    )
