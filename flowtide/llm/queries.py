@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowtide.llm import decontamination, exact_dedup, lm, pieces, sharding, simhash, sql
+from flowtide.llm import common, decontamination, exact_dedup, lm, pieces, secret_scan, sharding, simhash, sql, url_filter
 from flowtide.llm.common import documents, ship
 
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
@@ -116,3 +116,31 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "ids", F.size("ids").cast("long").alias("n_ids"),
         F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"),
     )
+
+
+@_register("op4_secret_scans")
+def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    found = common.store(secret_scan.features(secret_scan.candidates(docs), docs), "findings")
+    # Findings in the documents of the labels table are labelled by their form.
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select(F.col("doc_id").alias("key")).distinct()
+    labelled = found.join(labels, "key", "left_semi").withColumn("label", secret_scan.assigned_name().cast("int"))
+    return secret_scan.scan(found, labelled).select(
+        F.col("key").alias("doc_id"), F.col("word").cast("long").alias("word"),
+        F.sha2("candidate", 256).alias("candidate_sha256"), F.col("length").cast("long").alias("length"),
+        F.round("probability", 6).alias("probability"), "is_secret",
+    )
+
+
+#: Fixed values of the contract.
+URL_RULES = [
+    url_filter.Rule("allow", "com/"), url_filter.Rule("block", "example.com/en/"),
+    url_filter.Rule("allow", "www.example.com/en/"), url_filter.Rule("block", "net/es/"),
+    url_filter.Rule("block", "net/fr/"),
+]
+
+
+@_register("op6_url_filters")
+def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
+    return url_filter.judge(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict", F.round("blocked", 6).alias("blocked"))
