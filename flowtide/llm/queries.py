@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowtide.llm import common, decontamination, exact_dedup, lm, pieces, secret_scan, sharding, simhash, sql, url_filter
+from flowtide.llm import common, decontamination, exact_dedup, language_id, lm, pieces, secret_scan, sharding, simhash, sql, url_filter
 from flowtide.llm.common import documents, ship
 
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
@@ -144,3 +144,13 @@ URL_RULES = [
 def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
     return url_filter.judge(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict", F.round("blocked", 6).alias("blocked"))
+
+
+@_register("op8_language_id")
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    held_out = _remainder(F.col("doc_id"), 4) == 2
+    model = language_id.fit(docs.filter(~held_out))
+    return language_id.predict(docs.select("doc_id", "text"), model).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score"
+    )
