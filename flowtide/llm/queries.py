@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowtide.llm import common, decontamination, exact_dedup, language_id, lm, pieces, secret_scan, sharding, simhash, sql, url_filter
+from flowtide.llm import common, decontamination, exact_dedup, language_id, lm, pieces, quality, secret_scan, sharding, simhash, sql, url_filter
 from flowtide.llm.common import documents, ship
 
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
@@ -154,3 +154,27 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(docs.select("doc_id", "text"), model).select(
         "doc_id", held_out.alias("held_out"), "lang_pred", "score"
     )
+
+
+@_register("op1_quality_classifier", f"""with
+trusted as (select distinct doc_id from labels where quality = 1 and toxic = 0 and doc_id is not null),
+sample as (select doc_id from documents join trusted using (doc_id) where md5(cast(doc_id as varchar)) < '8'
+    and length(text) <= {quality.LONGEST} order by md5(cast(doc_id as varchar)), text limit {quality.SAMPLE}),
+texts as (select doc_id as key, text, doc_id in (select doc_id from sample) as train from documents),
+{sql.kneser_ney('texts')},
+judged as (select doc_id, lang, tokens, round(-score / tokens, 4) as p from scored join documents on key = doc_id),
+counted as (select lang, false as everything, round(p, 3) as value, count(*) as n from judged join trusted using (doc_id)
+    where md5(cast(doc_id as varchar)) >= '8' group by 1, 3),
+all_values as (select * from counted union all select null, true, value, sum(n) from counted group by value),
+placed as (select lang, everything, value, sum(n) over (partition by lang, everything) as n,
+    sum(n) over (partition by lang, everything order by value) as upto from all_values),
+limits as (select lang, everything, n, round(min(value) + {quality.MARGIN}, 4) as threshold from placed
+    where upto >= {quality.QUANTILE} * n group by 1, 2, 3),
+found as (select judged.*, coalesce(own.threshold, (select threshold from limits where everything)) as threshold from judged
+    left join (select * from limits where not everything and n >= {quality.ENOUGH} and lang is not null) as own using (lang))
+select doc_id, lang, tokens as n_tokens, p as log10_perplexity, threshold,
+    coalesce(p <= threshold + {quality.CAUTION} / sqrt(tokens), true) as kept from found""")
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
+    judged = quality.judge(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return judged.select(F.col("key").alias("doc_id"), "lang", F.col("tokens").alias("n_tokens"), "log10_perplexity", "threshold", "kept")
