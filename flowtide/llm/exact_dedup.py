@@ -2,7 +2,8 @@
 
 First pass: number of rows of each hash; only 16-byte hashes are shuffled, added up in each task
 first. Second pass: the texts whose hash occurs more than once are grouped by hash *and* text, which
-compares their bytes; equal texts are added up before they are shuffled, so a group that holds a
+compares their bytes (the hashes are sent to all tasks where they have been counted to be few, else joined by a
+shuffle); equal texts are added up before they are shuffled, so a group that holds a
 third of all rows moves one text a task. Third pass: each row looks its class up by hash. Only rows
 of a hash that two different texts share are looked up by text as well.
 
@@ -16,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from flowtide.llm import common
+
 _HASH, _TEXT = "__hash", "__text"
 _SIZE, _KEEP, _TEXTS = "__size", "__keep", "__texts"
 
@@ -34,9 +37,10 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", keep: str
     content = F.coalesce(F.col(text), F.lit(""))
     hashed = docs.select(F.col(key).alias("__key"), content.alias(_TEXT), content_hash(content).alias(_HASH))
     repeated = hashed.groupBy(_HASH).agg(F.count(F.lit(1)).alias(_SIZE)).filter(F.col(_SIZE) > 1).select(_HASH)
-    texts = (
-        hashed.join(repeated, _HASH, "left_semi").groupBy(_HASH, _TEXT)
-        .agg(F.count(F.lit(1)).alias(_SIZE), best("__key").alias(_KEEP))
+    texts = common.store(
+        hashed.join(common.stored_side(repeated, "repeated"), _HASH, "left_semi").groupBy(_HASH, _TEXT)
+        .agg(F.count(F.lit(1)).alias(_SIZE), best("__key").alias(_KEEP)),
+        "repeated-texts",
     )
     by_hash = texts.groupBy(_HASH).agg(
         F.count(F.lit(1)).alias(_TEXTS), F.max(_SIZE).alias(_SIZE), F.max(_KEEP).alias(_KEEP)
@@ -44,7 +48,7 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", keep: str
     rows = docs.withColumn(_HASH, content_hash(content))
     found = rows.join(by_hash, _HASH, "left")
     sure = found.filter(F.coalesce(F.col(_TEXTS), F.lit(1)) == 1).drop(_TEXTS)
-    shared = by_hash.filter(F.col(_TEXTS) > 1).select(_HASH)
+    shared = common.stored_side(by_hash.filter(F.col(_TEXTS) > 1).select(_HASH), "shared-hashes")
     unsure = (
         rows.join(shared, _HASH, "left_semi").withColumn(_TEXT, content)
         .join(texts.join(shared, _HASH, "left_semi"), [_HASH, _TEXT], "left").drop(_TEXT)
