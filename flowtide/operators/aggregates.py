@@ -53,7 +53,7 @@ def top_values_all(df: DataFrame, columns: Sequence[str] = TOP_COLUMNS, k: int =
 def isin_filter(df: DataFrame, column: str, k: int = 10) -> DataFrame:
     """Flows whose value is among the ``k`` most frequent ones."""
     top = _top(df, column, k).select(F.col("value").alias(column))
-    return df.join(F.broadcast(top), column, "left_semi")  # k rows
+    return df.join(top, column, "left_semi")
 
 
 def dashboard_metrics(df: DataFrame, approximate: bool = False) -> DataFrame:
@@ -95,11 +95,12 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str] = CORRELATED) -> Da
 
 
 def _correct():
-    return (F.col("prediction") == F.col("Label").try_cast("int")).cast("double")
+    label = F.col("Label").try_cast("int")
+    return F.when(label.isin(*labels.CATEGORY_NAMES), (F.col("prediction") == label).cast("double"))
 
 
 def accuracy(df: DataFrame) -> DataFrame:
-    """Share of flows whose prediction is their label, among flows with a label."""
+    """Share of flows whose prediction is their label, among flows with one of the three labels."""
     return df.agg(F.count(_correct()).alias("n"), F.avg(_correct()).alias("accuracy"))
 
 

@@ -75,10 +75,9 @@ def _boosted(rounds: int, depth: int, seed: int) -> list:
     ]
 
 
-def _spread(df: DataFrame) -> DataFrame:
-    """Few large input files would leave cores idle in every training pass; spread their rows."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+def _placed(df: DataFrame, partitions: int) -> DataFrame:
+    """Rows dealt by their hash and in order, so that a fit doesn't depend on the input's partitions."""
+    return df.repartition(partitions, *df.columns).sortWithinPartitions(*df.columns)
 
 
 def train_flow_classifier(
@@ -87,12 +86,13 @@ def train_flow_classifier(
     trees: int = TREES,
     depth: int = MAX_DEPTH,
     seed: int = 42,
+    partitions: int = 8,
 ) -> PipelineModel:
     """Fit on encoded flows that carry ``isVal`` and ``weight`` (see ``union_train_val``).
 
-    ``forest`` fits one three-class random forest on all rows. ``boosted`` fits a gradient-boosted
-    classifier per class and stops early on the rows marked ``isVal``. Rows without one of the
-    three labels are left out.
+    ``forest`` fits one three-class random forest on the rows not marked ``isVal``. ``boosted`` fits
+    a gradient-boosted classifier per class and stops early on the rows marked. Rows without one of
+    the three labels are left out. The model follows from rows, seed and number of ``partitions``.
     """
     stages = {"forest": _forest, "boosted": _boosted}[method](trees, depth, seed)
     rows = _labelled(train)
@@ -101,11 +101,13 @@ def train_flow_classifier(
             {f"is_{c}": F.when(F.col(_CLASS) == c, 1.0).otherwise(0.0) for c in CATEGORY_NAMES}
         )
     inputs = [c for c in rows.columns if c.startswith((_INPUT, "is_", _CLASS))]
-    narrow = _spread(rows.select(*inputs, "isVal", "weight"))
+    narrow = _placed(rows.select(*inputs, "isVal", "weight"), partitions)
     # Every tree level is a pass over these rows. They may spill to disk and are rebuilt if lost.
     narrow.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return Pipeline(stages=[feature_assembler(), *stages]).fit(narrow)
+        # Filtered above the stored rows, where the flag is a plain column.
+        fitted = narrow if method == "boosted" else narrow.filter(~F.col("isVal"))
+        return Pipeline(stages=[feature_assembler(), *stages]).fit(fitted)
     finally:
         narrow.unpersist()
 

@@ -20,7 +20,7 @@ def shared_dir(spark: SparkSession) -> str:
     if named:
         return named.rstrip("/")
     context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not context.master.startswith("local") or context.master.startswith("local-cluster"):
         raise RuntimeError(f"set {_CHECKPOINT_DIR} to a folder that all executors share")
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(tempfile.mkdtemp(prefix="flowtide-"))

@@ -14,14 +14,16 @@ from flowtide.schema import LABELLED_TABLE, RAW_FLOW, TRAINING_FLOW
 DAY = "dt"
 
 
-def read_raw_flows(spark: SparkSession, path: str, layout: T.StructType = RAW_FLOW) -> DataFrame:
+def read_raw_flows(
+    spark: SparkSession, path: str, layout: T.StructType = RAW_FLOW, encoding: str = "UTF-8"
+) -> DataFrame:
     """Raw flow logs: CSV with a header, in the declared layout.
 
     Columns are found by their header name, and all files of one read must share their header.
-    Declared types are applied here, because times and ports come in several notations within one
+    ``encoding`` is the files' character set. Declared types are applied here, because times and ports come in several notations within one
     log; nothing is inferred from the values.
     """
-    texts = spark.read.option("header", True).option("enforceSchema", False).csv(path)
+    texts = spark.read.option("header", True).option("enforceSchema", False).option("encoding", encoding).csv(path)
     return texts.select(*[typed_text(F.col(f.name), f.dataType).alias(f.name) for f in layout])
 
 

@@ -88,7 +88,7 @@ def run_preprocess_stream(
 
         return (
             messages.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-            .trigger(**trigger).queryName("preprocess").start()
+            .trigger(**trigger).start()
         )
     if encoded_as == CHUNKS:
         fill = None if stos_fill == MESSAGE_MEDIAN else stos_fill
@@ -137,7 +137,7 @@ def _table_query(
         with_day(to_table_row(labelled)).writeStream.format("parquet").partitionBy(DAY)
         .option("path", path).option("checkpointLocation", checkpoint)
         .option("maxRecordsPerFile", max_records_per_file)
-        .outputMode("append").trigger(**trigger).queryName("table").start()
+        .outputMode("append").trigger(**trigger).start()
     )
 
 
@@ -183,5 +183,5 @@ def batch_accuracy_stream(
 
     return (
         labelled.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-        .trigger(**trigger).queryName("accuracy").start()
+        .trigger(**trigger).start()
     )

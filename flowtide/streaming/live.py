@@ -46,8 +46,7 @@ def run_live_counts(
 
     return (
         live_flow_counts(flows, width, lateness).writeStream.outputMode("update")
-        .foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**trigger)
-        .queryName("live_counts").start()
+        .foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**trigger).start()
     )
 
 
