@@ -33,7 +33,7 @@ from flowtide.llm import common, tokens
 from flowtide.llm.components import components
 
 SHINGLE, RADIUS, BLOCKS, SEED = 3, 3, 5, 42
-PART, HELD, SPLIT, PAIRS = 2 << 20, 200_000, 8192, 1 << 19
+PART, HELD, SPLIT, PAIRS = 1 << 19, 200_000, 8192, 1 << 19
 
 
 def fingerprints_of(data: np.ndarray, offsets: np.ndarray, width: int = SHINGLE) -> np.ndarray:
