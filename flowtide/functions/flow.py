@@ -4,9 +4,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Date-time layouts seen in flow logs beside the standard one.
-SLASHED_TIME = "yyyy/MM/dd HH:mm:ss[.SSSSSS]"
-
 # Protocols and direction with an indicator of their own, and the service byte.
 TCP, UDP, BOTH_WAYS, STOS_ONE = "tcp", "udp", "<->", 1.0
 
@@ -23,11 +20,8 @@ def flag(condition: Column) -> Column:
 
 
 def start_time(text: Column) -> Column:
-    """Text to wall-clock time; what cannot be read becomes null."""
-    return F.coalesce(
-        text.try_cast("timestamp_ntz"),
-        F.try_to_timestamp(text, F.lit(SLASHED_TIME)).cast("timestamp_ntz"),
-    )
+    """Text with dashes or slashes to wall-clock time, whatever the zone; what cannot be read becomes null."""
+    return F.translate(text, "/", "-").try_cast("timestamp_ntz")
 
 
 def typed_text(text: Column, data_type: T.DataType) -> Column:

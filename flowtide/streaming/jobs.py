@@ -56,6 +56,8 @@ def decode_encoded(
     ``first_only`` keeps the first row of each chunk message and drops the others.
     """
     if encoded_as == ROWS:
+        if first_only:
+            raise ValueError("first_only needs chunk messages")
         return decode_row_json(messages, layout)
     rows = unpack_chunks(messages, layout)
     return (first_per_chunk(rows) if first_only else rows).drop("key", IDX)
@@ -78,6 +80,9 @@ def run_preprocess_stream(
     over it; the other fills take none.
     """
     if stos_fill == BATCH_MEDIAN:
+        if encoded_as == CHUNKS:
+            raise ValueError("batch_median makes row messages only")
+
         def write(batch: DataFrame, batch_id: int) -> None:
             rows = unpack_chunks(batch, layout).persist(StorageLevel.MEMORY_AND_DISK)
             try:
@@ -166,6 +171,8 @@ def run_fused_stream(
 
     One query encodes and scores; each flow is decoded once instead of three times.
     """
+    if stos_fill == BATCH_MEDIAN:
+        raise ValueError("batch_median is no fill of the fused stream")
     labelled = score_flows(preprocess_messages(messages, stos_fill), model)
     return _table_query(labelled, path, checkpoint, trigger, max_records_per_file)
 
