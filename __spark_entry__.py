@@ -448,6 +448,23 @@ def _column_median(spark, sf_dir):
     return spark.range(1).select(*medians)
 
 
+_INFINITE = "case when flow_id % 50 = 0 then cast('Infinity' as double) else Dur end"
+_FEW_INFINITE = f"(select flow_id, {_INFINITE} as Dur from flows)"
+
+
+@_register("column_median_infinite", f"select quantile_disc(Dur, 0.5) as dur from {_FEW_INFINITE}")
+def _column_median_infinite(spark, sf_dir):
+    flows = read_flows(spark, sf_dir).withColumn("Dur", F.expr(_INFINITE))
+    return spark.range(1).select(F.lit(quantiles.column_median(flows, "Dur")).alias("dur"))
+
+
+@_register("duration_histogram_infinite",
+           _histogram_sql(f"(select * from {_FEW_INFINITE} where not isinf(Dur))", "Dur", 100))
+def _duration_histogram_infinite(spark, sf_dir):
+    flows = read_flows(spark, sf_dir).withColumn("Dur", F.expr(_INFINITE))
+    return _rounded(histograms.duration_histogram(flows), "bin_start", "bin_end")
+
+
 @_register("column_median_approx")
 def _column_median_approx(spark, sf_dir):
     value = quantiles.column_median(read_flows(spark, sf_dir), "sTos", rel_error=0.25)
@@ -500,6 +517,13 @@ def _pair_points(spark, sf_dir):
     return reshape.pair_points(read_flows(spark, sf_dir), _PAIRED)
 
 
+@_register("pair_points_latest_5000", " union all ".join(
+    f"""select flow_id, prediction, '{a}' as x_name, '{b}' as y_name, cast({a} as double) as x,
+    cast({b} as double) as y from latest5000""" for a in _PAIRED for b in _PAIRED))
+def _pair_points_latest(spark, sf_dir):
+    return reshape.pair_points(select.newest(read_flows(spark, sf_dir), 5000), _PAIRED)
+
+
 # ---- Messages --------------------------------------------------------------------------------
 
 def _raw(spark, sf_dir) -> DataFrame:
@@ -546,6 +570,32 @@ def _encode_row_json(spark, sf_dir):
     return chunks.decode_row_json(messages, RAW_WITH_ID)
 
 
+@_register("rejected_messages", """select cast(chunk as varchar) as key,
+    cast(count(*) filter (where chunk % 7 <> 0) as bigint) as n_rows, chunk % 7 = 0 as rejected
+    from chunked group by chunk""")
+def _rejected_messages(spark, sf_dir):
+    """Each seventh message is cut off; it ends in the reject stream, the others as rows."""
+    cut = F.col("key").cast("long") % 7 == 0
+    sent = _packed(spark, sf_dir).withColumn(
+        "value", F.when(cut, F.substring("value", 1, 20)).otherwise(F.col("value"))
+    )
+    stream = _message_stream(spark, sent)
+    out, encoded = scratch_path(spark, "rejects"), scratch_path(spark, "encoded")
+    jobs.run_reject_stream(
+        stream, "parquet", {"path": out}, scratch_path(spark, "checkpoint")
+    ).awaitTermination()
+    jobs.run_preprocess_stream(
+        stream, 0.0, "parquet", {"path": encoded}, scratch_path(spark, "checkpoint"),
+        layout=RAW_WITH_ID, encoded_as=jobs.CHUNKS,
+    ).awaitTermination()
+    rows = chunks.unpack_chunks(spark.read.parquet(encoded), ENCODED_FLOW)
+    good = rows.groupBy("key").agg(F.count("*").alias("n_rows")).withColumn("rejected", F.lit(False))
+    bad = spark.read.parquet(out).select(
+        "key", F.lit(0).cast("long").alias("n_rows"), F.lit(True).alias("rejected")
+    )
+    return good.unionByName(bad)
+
+
 @_register("first_per_chunk", f"select chunk, idx, {', '.join(RAW_COLUMNS)} from chunked where idx = 0")
 def _first_per_chunk(spark, sf_dir):
     return chunks.first_per_chunk(chunks.assign_chunks(_raw(spark, sf_dir)))
@@ -590,6 +640,25 @@ def _latest_flows_of_table(spark, sf_dir):
     return dashboard.newest(_table(spark, sf_dir), 5000).drop("dt")
 
 
+@_register("network_activity_of_table", """select StartTime, 'TotPkts' as metric, TotPkts as value
+    from latest100 union all select StartTime, 'TotBytes', TotBytes from latest100""")
+def _network_activity_of_table(spark, sf_dir):
+    return reshape.network_activity(_table(spark, sf_dir))
+
+
+@_register("packet_series_of_table", "select StartTime, TotPkts from latest300")
+def _packet_series_of_table(spark, sf_dir):
+    return reshape.packet_series(_table(spark, sf_dir))
+
+
+@_register("search_panel", f"""select StartTime, SrcAddr, DstAddr, Dport, prediction,
+    'green' as severity, count(*) over () as shown from (select {_TABLE_ROW} from flows
+    where {_IN_RANGE} and prediction = 2 order by StartTime desc limit 100)""")
+def _search_panel(spark, sf_dir):
+    panel = dashboard.search_panel(_table(spark, sf_dir), _START, _END, ["Dport"], 2)
+    return panel["rows"].withColumn("shown", panel["shown"].scalar())
+
+
 @_register("search_table", f"""select StartTime, SrcAddr, DstAddr, Dport, prediction from (
     select {_TABLE_ROW} from flows) where {_IN_RANGE} and prediction = 2
     order by StartTime desc limit 100""")
@@ -731,6 +800,41 @@ def _run_fused_stream(spark, sf_dir):
     return files.read_labelled(spark, out)
 
 
+@_register("table_of_both_loads", f"select {_TABLE_ROW}, cast(StartTime as date) as dt from flows")
+def _table_of_both_loads(spark, sf_dir):
+    """Half of the flows come by a stream and half by a batch, into one table."""
+    labelled = _labelled(spark, sf_dir)
+    streamed = F.col("flow_id") % 2 == 0
+    messages = chunks.encode_row_json(labelled.where(streamed).drop("flow_id"))
+    out = scratch_path(spark, "both-loads")
+    jobs.stream_sink_table(
+        _message_stream(spark, messages), out, scratch_path(spark, "checkpoint")
+    ).awaitTermination()
+    files.write_labelled(labelled.where(~streamed), out)
+    return files.read_labelled(spark, out)
+
+
+# Classes that follow from the protocol, so that a fitted model's rows are known.
+_BY_PROTO = "case Proto when 'tcp' then {} when 'udp' then {} else {} end"
+
+
+@_register("run_fused_stream_fitted", f"""select {_TABLE_ROW}, cast(StartTime as date) as dt
+    from (select * replace ({_BY_PROTO.format(1, 2, 0)} as prediction) from flows)""")
+def _run_fused_stream_fitted(spark, sf_dir):
+    """A model that was fitted, saved and loaded scores a stream of raw messages into the table."""
+    flows = read_flows(spark, sf_dir).drop("prediction").withColumn(
+        "Label", F.expr(_BY_PROTO.format("'Botnet'", "'Normal'", "'Background'"))
+    )
+    trained = training.train_from_flows(flows)
+    path, out = scratch_path(spark, "model"), scratch_path(spark, "fitted-table")
+    files.save_model(trained.model, path)
+    jobs.run_fused_stream(
+        _message_stream(spark, _packed(spark, sf_dir)), trained.stos_fill, files.load_model(path),
+        out, scratch_path(spark, "checkpoint"),
+    ).awaitTermination()
+    return files.read_labelled(spark, out)
+
+
 @_register("batch_accuracy", f"""select 0 as batch_id, count(c) as n, round(avg(c), 6) as accuracy
     from (select cast(prediction = try_cast({_LABEL} as int) as double) as c from flows)""")
 def _batch_accuracy(spark, sf_dir):

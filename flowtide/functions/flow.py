@@ -39,7 +39,18 @@ def typed_text(text: Column, data_type: T.DataType) -> Column:
 
 
 def micros(time: Column) -> Column:
-    return F.unix_micros(time.cast("timestamp"))
+    """Microseconds of a wall-clock time since 1970, whatever the session's zone."""
+    time = time.cast("timestamp_ntz")
+    minutes = (F.unix_date(F.to_date(time)).cast("long") * 24 + F.hour(time)) * 60 + F.minute(time)
+    seconds = F.extract(F.lit("SECOND"), time)
+    return minutes * 60_000_000 + (seconds * 1_000_000).cast("long")
+
+
+def from_micros(number: Column) -> Column:
+    """The wall-clock time of ``micros``, whatever the session's zone."""
+    seconds = (number.cast("decimal(20,0)") / 1_000_000).cast("decimal(18,6)")
+    start = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return start + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
 
 
 def port_number(port: Column) -> Column:

@@ -17,6 +17,8 @@ from flowtide.schema import CHUNK_ROWS, ENCODED_COLUMNS, RAW_FLOW, chunk_schema
 from flowtide.session import store
 
 CHUNK, IDX = "chunk", "idx"
+_SPREAD = 4096
+_BROKEN = "_broken"
 
 
 def number_rows(df: DataFrame, order: Sequence[str]) -> DataFrame:
@@ -86,14 +88,23 @@ def _as_messages(chunks: DataFrame, names: Sequence[str], size: int) -> DataFram
 def pack_chunks(df: DataFrame, size: int = CHUNK_ROWS) -> DataFrame:
     """One (key, value) message per chunk, key being the chunk number as text.
 
-    A group is bounded whatever the chunk column holds: index ``size`` and above start a message of
-    their own under the same key.
+    A group is bounded whatever the chunk column holds. Index ``size`` and above start a message of
+    their own under the same key, and so does an index that comes again. Rows without a chunk are
+    spread by a hash of their values before that.
     """
     fields = [f for f in df.schema if f.name not in (CHUNK, IDX)]
     row = F.struct(F.col(IDX), *[_json_cell(F.col(f.name), f).alias(f.name) for f in fields])
-    part = F.floor(F.col(IDX) / size)
-    grouped = df.groupBy(F.col(CHUNK).cast("string").alias("key"), part.alias("part")).agg(
-        F.array_sort(F.collect_list(row)).alias("rows")
+    chunk = F.col(CHUNK).cast("string")
+    spread = F.pmod(F.xxhash64(*[f.name for f in fields]), F.lit(_SPREAD))
+    # Placed once: the window and the grouping both find their rows together.
+    together = ["key", "part", "salt"]
+    placed = df.select(
+        chunk.alias("key"), F.floor(F.col(IDX) / size).alias("part"),
+        F.when(chunk.isNull(), spread).otherwise(0).alias("salt"), F.col(IDX), row.alias("row"),
+    ).repartition(*together)
+    again = F.row_number().over(Window.partitionBy(*together, IDX).orderBy(F.lit(0)))
+    grouped = placed.withColumn("again", again).groupBy(*together, "again").agg(
+        F.array_sort(F.collect_list("row")).alias("rows")
     )
     return _as_messages(grouped, [f.name for f in fields], size)
 
@@ -115,6 +126,25 @@ def _decoded(messages: DataFrame, layout: T.StructType, keep: Sequence[str]) ->
     return messages.select(*keep, F.from_json("value", chunk_schema(layout)).alias("m"))
 
 
+def _is_broken(layout: T.StructType) -> Column:
+    """Whether a message is no JSON object of the layout; null and blank messages are none."""
+    marked = T.StructType([*layout, T.StructField(_BROKEN, T.StringType())])
+    read = F.from_json("value", marked, {"columnNameOfCorruptRecord": _BROKEN})
+    return F.coalesce(F.trim("value"), F.lit("")).eqNullSafe("") | read[_BROKEN].isNotNull()
+
+
+def broken_chunks(messages: DataFrame) -> DataFrame:
+    """Chunk messages that ``unpack_chunks`` gets no rows from: broken ones and those without times."""
+    times = T.StructType([f for f in chunk_schema(RAW_FLOW) if f.name == "StartTime"])
+    found = F.from_json("value", times)["StartTime"]
+    return messages.where(_is_broken(times) | found.isNull())
+
+
+def broken_rows(messages: DataFrame) -> DataFrame:
+    """Row messages that ``decode_row_json`` leaves out."""
+    return messages.where(_is_broken(T.StructType([])))
+
+
 def _indices() -> Column:
     """A message has as many rows as start times."""
     return F.map_keys(F.col("m")["StartTime"])
@@ -132,6 +162,8 @@ def unpack_chunks(
 ) -> DataFrame:
     """Chunk messages to typed rows. Columns a message lacks are null.
 
+    Messages that can't be read give no rows; ``broken_chunks`` finds them.
+
     ``with_median`` adds ``message_stos``, the message's own low median of the service byte.
     """
     decoded = _decoded(messages, layout, keep)
@@ -198,8 +230,11 @@ def encode_row_json(df: DataFrame, key: str | None = None) -> DataFrame:
 
 
 def decode_row_json(messages: DataFrame, layout: T.StructType) -> DataFrame:
+    """Row messages to typed rows. Broken messages give none; ``broken_rows`` finds them."""
     texts = T.StructType([T.StructField(f.name, T.StringType()) for f in layout])
-    rows = messages.select(F.from_json("value", texts).alias("r"))
+    marked = T.StructType([*texts, T.StructField(_BROKEN, T.StringType())])
+    read = F.from_json("value", marked, {"columnNameOfCorruptRecord": _BROKEN})
+    rows = messages.select(read.alias("r")).where(F.col("r").isNotNull() & F.col("r")[_BROKEN].isNull())
     return rows.select(*[typed_text(F.col("r")[f.name], f.dataType).alias(f.name) for f in layout])
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowtide.functions.flow import micros, null_if_nan
+from flowtide.functions.flow import from_micros, micros
 
 
 def _range(df: DataFrame, value):
@@ -20,9 +20,11 @@ def _range(df: DataFrame, value):
 def value_histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
     """Counts in ``bins`` equal widths; the last bin is closed, empty bins are left out.
 
-    When all values are equal they fall in bin 0. Null and NaN are not counted.
+    When all values are equal they fall in bin 0. Null, NaN and both infinities, which lie in no bin
+    of finite width, are not counted.
     """
-    value = null_if_nan(F.col(column).cast("double"))
+    number = F.col(column).cast("double")
+    value = F.when(F.abs(number) < float("inf"), number)  # NaN is greater than all numbers
     lo, hi = _range(df, value)
     width = (hi - lo) / F.lit(float(bins))
     place = F.when(width == 0, 0).otherwise(
@@ -66,5 +68,5 @@ def protocol_over_time(df: DataFrame, bins: int = 100) -> DataFrame:
         .groupBy(F.floor((time - lo) / width).cast("int").alias("bin"), "Proto")
         .agg(F.count("*").alias("n"))
     )
-    start = F.timestamp_micros(lo + F.col("bin") * width).cast("timestamp_ntz")
+    start = from_micros(lo + F.col("bin") * width)
     return counts.select("bin", start.alias("bin_start"), "Proto", "n")

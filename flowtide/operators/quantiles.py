@@ -12,6 +12,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from flowtide.functions.flow import null_if_nan
 
@@ -42,14 +43,27 @@ def _halves(v: Column, lo, hi) -> Column:
 def exact_quantile(df: DataFrame, column: str, p: float = 0.5, bins: int = 4096):
     """Smallest value of a numeric column whose cumulative share is at least ``p``.
 
-    Null and NaN are left out; without any value the result is None.
+    Null and NaN are left out; without any value the result is None. Infinities are counted along
+    with the range, so that bins divide a finite one.
     """
     v = F.col("v")
     rows = _clean(df, column)
-    held = rows.agg(F.count(v).alias("n"), F.min(v).alias("lo"), F.max(v).alias("hi")).first()
+    finite = F.lit(True)
+    if isinstance(rows.schema["v"].dataType, T.DoubleType):
+        finite = F.abs(v) < math.inf
+    held = rows.agg(
+        F.count(v).alias("n"), F.count_if(~finite & (v < 0)).alias("lowest"),
+        F.count_if(finite).alias("finite"),
+        F.min(F.when(finite, v)).alias("lo"), F.max(F.when(finite, v)).alias("hi"),
+    ).first()
     if held.n == 0:
         return None
-    rank = max(math.ceil(p * held.n), 1)
+    rank = max(math.ceil(p * held.n), 1) - held.lowest
+    if rank <= 0:
+        return -math.inf
+    if rank > held.finite:
+        return math.inf
+    rows = rows.where(finite)
     lo, hi = held.lo, held.hi
     place = _bin_of(v, lo, hi, bins)
     # At most ``bins`` rows reach this window, whatever the size of the table.

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowtide.operators.select import latest_flows
+from flowtide.operators.select import DAY, FLOW_ID, TIME, latest_flows, newest
 from flowtide.schema import ACTIVITY_ROWS, SERIES_ROWS
 
 
@@ -16,17 +16,27 @@ def head_n(df: DataFrame, n: int) -> DataFrame:
     return latest_flows(df, n)
 
 
+def newest_volume(df: DataFrame, n: int) -> DataFrame:
+    """Time, packets and bytes of the newest flows.
+
+    Columns are picked before the sort, so a scan reads no others, and a table partitioned by day is
+    pruned. Without ``flow_id`` flows of one time are ordered by a hash of these columns.
+    """
+    wanted = [TIME, "TotPkts", "TotBytes", *(c for c in (FLOW_ID, DAY) if c in df.columns)]
+    return newest(df.select(*wanted), n).select(TIME, "TotPkts", "TotBytes")
+
+
 def network_activity(df: DataFrame, n: int = ACTIVITY_ROWS) -> DataFrame:
     """Packets and bytes of the newest flows as (StartTime, metric, value)."""
-    return head_n(df, n).unpivot("StartTime", ["TotPkts", "TotBytes"], "metric", "value")
+    return newest_volume(df, n).unpivot(TIME, ["TotPkts", "TotBytes"], "metric", "value")
 
 
 def packet_series(df: DataFrame, n: int = SERIES_ROWS) -> DataFrame:
-    return head_n(df, n).select("StartTime", "TotPkts")
+    return newest_volume(df, n).select(TIME, "TotPkts")
 
 
 def byte_series(df: DataFrame, n: int = SERIES_ROWS) -> DataFrame:
-    return head_n(df, n).select("StartTime", "TotBytes")
+    return newest_volume(df, n).select(TIME, "TotBytes")
 
 
 def duration_scatter(df: DataFrame) -> DataFrame:

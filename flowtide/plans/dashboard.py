@@ -2,16 +2,33 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Sequence
+
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from flowtide.operators import aggregates, encode, histograms, reshape
+from flowtide.operators.select import newest, search_flows
+from flowtide.schema import LATEST_SIZES, SEARCH_LIMIT
+
+
+class Panels(dict):
+    """Panels by name, over flows that are held until ``release`` or the end of a ``with`` block."""
 
-from flowtide.operators import aggregates, histograms, reshape
-from flowtide.operators.select import DAY, latest_flows, latest_from_days
-from flowtide.schema import LATEST_SIZES
+    def __init__(self, held: DataFrame, shown: DataFrame):
+        super().__init__(panels(shown))
+        self._held = held
 
+    def release(self) -> None:
+        self._held.unpersist()
 
-def newest(table: DataFrame, n: int) -> DataFrame:
-    """Newest flows of the table, by the cheaper way if it is partitioned by day."""
-    return latest_from_days(table, n) if DAY in table.columns else latest_flows(table, n)
+    def __enter__(self) -> Panels:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.release()
 
 
 def panels(flows: DataFrame) -> dict[str, DataFrame]:
@@ -30,8 +47,19 @@ def panels(flows: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def latest_panels(table: DataFrame, n: int = LATEST_SIZES[0]) -> dict[str, DataFrame]:
-    """Panels over the newest ``n`` flows, which are read once and kept for all of them."""
+def latest_panels(table: DataFrame, n: int = LATEST_SIZES[0]) -> Panels:
+    """Panels over the newest ``n`` flows, which are read once and held for all of them."""
     if n not in LATEST_SIZES:
         raise ValueError(f"n must be one of {LATEST_SIZES}")
-    return panels(newest(table, n).cache())
+    # The mark keeps this read apart from an older one of the same path that is still held.
+    held = newest(table, n).withColumn("_read", F.lit(uuid.uuid4().hex))
+    held = held.persist(StorageLevel.MEMORY_AND_DISK)
+    return Panels(held, held.drop("_read"))
+
+
+def search_panel(
+    table: DataFrame, start, end, columns: Sequence[str], category: int, n: int = SEARCH_LIMIT
+) -> dict[str, DataFrame]:
+    """The flows found, newest first and each with its severity, and how many they are."""
+    found = encode.with_severity(search_flows(table, start, end, columns, category, n))
+    return {"rows": found, "shown": found.agg(F.count("*").alias("shown"))}

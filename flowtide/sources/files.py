@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +13,7 @@ from flowtide.functions.flow import typed_text
 from flowtide.operators.encode import to_table_row
 from flowtide.schema import LABELLED_TABLE, RAW_FLOW, TRAINING_FLOW
 
-DAY = "dt"
+DAY, LOAD = "dt", "load"
 
 
 def read_raw_flows(
@@ -52,9 +54,12 @@ def with_day(df: DataFrame) -> DataFrame:
 
 
 def write_labelled(
-    df: DataFrame, path: str, max_records_per_file: int = 5_000_000, mode: str = "append"
+    df: DataFrame, path: str, max_records_per_file: int = 5_000_000, load: str | None = None
 ) -> None:
-    """Labelled flows as the stored table, partitioned by day.
+    """Add labelled flows to the stored table, partitioned by day and load.
+
+    A load that is repeated under its name replaces itself in the days that it has; without a name
+    each call is a load of its own. Batches and streams write alike and into one table.
 
     Rows are rebalanced by day: small days are merged and a day too big for one task is split over
     several, so a day with a third of all flows does not end in one writer. Within a file rows are
@@ -63,14 +68,15 @@ def write_labelled(
     rows = with_day(to_table_row(df)).hint("rebalance", DAY)
     (
         rows.sortWithinPartitions(DAY, "StartTime")
-        .write.mode(mode).partitionBy(DAY).option("maxRecordsPerFile", max_records_per_file)
-        .parquet(path)
+        .withColumn(LOAD, F.lit(load or uuid.uuid4().hex))
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy(DAY, LOAD).option("maxRecordsPerFile", max_records_per_file).parquet(path)
     )
 
 
 def read_labelled(spark: SparkSession, path: str) -> DataFrame:
     layout = T.StructType([*LABELLED_TABLE.fields, T.StructField(DAY, T.DateType())])
-    return spark.read.schema(layout).parquet(path)
+    return spark.read.schema(layout.add(LOAD, T.StringType())).parquet(path).drop(LOAD)
 
 
 def save_model(model: PipelineModel, path: str) -> None:

@@ -2,11 +2,12 @@
 
 ``preprocess_messages`` and ``score_messages`` are the stages as plain functions from messages to
 rows; they run the same in a batch. The ``run_`` functions attach them to a source and a sink. Every
-run has a checkpoint of its own, and the file sinks commit each batch exactly once.
+run has a checkpoint of its own, and file sinks and the table hold each batch exactly once.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Mapping
 
 from pyspark import StorageLevel
@@ -17,12 +18,13 @@ from pyspark.sql.streaming import StreamingQuery
 
 from flowtide.operators.aggregates import accuracy
 from flowtide.operators.chunks import (
-    IDX, decode_row_json, encode_row_json, first_per_chunk, preprocess_chunks, unpack_chunks,
+    IDX, broken_chunks, broken_rows, decode_row_json, encode_row_json, first_per_chunk,
+    preprocess_chunks, unpack_chunks,
 )
-from flowtide.operators.encode import fit_stos_fill, preprocess_flows, to_table_row
+from flowtide.operators.encode import fit_stos_fill, preprocess_flows
 from flowtide.operators.learning import score_flows
 from flowtide.schema import ENCODED_FLOW, LABELLED_FLOW, RAW_FLOW
-from flowtide.sources.files import DAY, with_day
+from flowtide.sources.files import write_labelled
 from flowtide.sources.topics import stream_sink_topic
 
 AVAILABLE_NOW: Mapping[str, object] = {"availableNow": True}
@@ -73,6 +75,7 @@ def run_preprocess_stream(
     layout=RAW_FLOW,
     keep=(),
     encoded_as: str = ROWS,
+    name: str | None = None,
 ) -> StreamingQuery:
     """Raw chunk messages to encoded messages, one per flow or one per chunk.
 
@@ -91,16 +94,18 @@ def run_preprocess_stream(
             finally:
                 rows.unpersist()
 
-        return (
-            messages.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-            .trigger(**trigger).start()
-        )
+        return _by_batch(messages, write, checkpoint, trigger, name)
     if encoded_as == CHUNKS:
         fill = None if stos_fill == MESSAGE_MEDIAN else stos_fill
         encoded = preprocess_chunks(messages, fill, layout, keep)
     else:
         encoded = encode_row_json(preprocess_messages(messages, stos_fill, layout, keep))
-    return stream_sink_topic(encoded, sink, options, checkpoint, trigger, "preprocess").start()
+    return stream_sink_topic(encoded, sink, options, checkpoint, trigger, name).start()
+
+
+def _by_batch(rows: DataFrame, write, checkpoint: str, trigger, name: str | None) -> StreamingQuery:
+    writer = rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return (writer.queryName(name) if name else writer).trigger(**trigger).start()
 
 
 def _write_batch(batch: DataFrame, batch_id: int, sink: str, options: Mapping[str, str]) -> None:
@@ -127,23 +132,40 @@ def run_score_stream(
     encoded_as: str = ROWS,
     layout=ENCODED_FLOW,
     first_only: bool = False,
+    name: str | None = None,
 ) -> StreamingQuery:
     """Encoded messages to labelled row messages, one per flow. The model is loaded once, outside."""
     labelled = score_flows(decode_encoded(messages, encoded_as, layout, first_only), model)
     return stream_sink_topic(
-        encode_row_json(labelled), sink, options, checkpoint, trigger, "score"
+        encode_row_json(labelled), sink, options, checkpoint, trigger, name
     ).start()
 
 
+def run_reject_stream(
+    messages: DataFrame,
+    sink: str,
+    options: Mapping[str, str],
+    checkpoint: str,
+    trigger: Mapping[str, object] = AVAILABLE_NOW,
+    form: str = CHUNKS,
+    name: str | None = None,
+) -> StreamingQuery:
+    """The messages that a stage on the same source can't read, unchanged. Run it beside the stage."""
+    broken = broken_chunks(messages) if form == CHUNKS else broken_rows(messages)
+    return stream_sink_topic(broken, sink, options, checkpoint, trigger, name).start()
+
+
 def _table_query(
-    labelled: DataFrame, path: str, checkpoint: str, trigger, max_records_per_file: int
+    labelled: DataFrame, path: str, checkpoint: str, trigger, max_records_per_file: int,
+    name: str | None,
 ) -> StreamingQuery:
-    return (
-        with_day(to_table_row(labelled)).writeStream.format("parquet").partitionBy(DAY)
-        .option("path", path).option("checkpointLocation", checkpoint)
-        .option("maxRecordsPerFile", max_records_per_file)
-        .outputMode("append").trigger(**trigger).start()
-    )
+    """Each micro-batch is a load of the table, named by checkpoint and batch; repeats replace it."""
+    source = hashlib.md5(checkpoint.encode()).hexdigest()
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        write_labelled(batch, path, max_records_per_file, load=f"{source}-{batch_id}")
+
+    return _by_batch(labelled, write, checkpoint, trigger, name)
 
 
 def stream_sink_table(
@@ -152,10 +174,15 @@ def stream_sink_table(
     checkpoint: str,
     trigger: Mapping[str, object] = AVAILABLE_NOW,
     max_records_per_file: int = 5_000_000,
+    name: str | None = None,
 ) -> StreamingQuery:
-    """Labelled row messages into the day-partitioned table; the label itself is not stored."""
+    """Labelled row messages into the day-partitioned table; the label itself is not stored.
+
+    Keep one checkpoint folder for one source: a new stream in an old folder's place would replace
+    the loads of the old one.
+    """
     labelled = decode_row_json(messages, LABELLED_FLOW)
-    return _table_query(labelled, path, checkpoint, trigger, max_records_per_file)
+    return _table_query(labelled, path, checkpoint, trigger, max_records_per_file, name)
 
 
 def run_fused_stream(
@@ -166,6 +193,7 @@ def run_fused_stream(
     checkpoint: str,
     trigger: Mapping[str, object] = AVAILABLE_NOW,
     max_records_per_file: int = 5_000_000,
+    name: str | None = None,
 ) -> StreamingQuery:
     """Raw chunk messages straight into the table, for when nobody else reads the topics between.
 
@@ -174,7 +202,7 @@ def run_fused_stream(
     if stos_fill == BATCH_MEDIAN:
         raise ValueError("batch_median is no fill of the fused stream")
     labelled = score_flows(preprocess_messages(messages, stos_fill), model)
-    return _table_query(labelled, path, checkpoint, trigger, max_records_per_file)
+    return _table_query(labelled, path, checkpoint, trigger, max_records_per_file, name)
 
 
 def batch_accuracy_stream(
@@ -182,13 +210,11 @@ def batch_accuracy_stream(
     path: str,
     checkpoint: str,
     trigger: Mapping[str, object] = AVAILABLE_NOW,
+    name: str | None = None,
 ) -> StreamingQuery:
     """Accuracy of each micro-batch of labelled rows, one row per batch."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         accuracy(batch).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
-    return (
-        labelled.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-        .trigger(**trigger).start()
-    )
+    return _by_batch(labelled, write, checkpoint, trigger, name)

@@ -1,4 +1,10 @@
-"""Counts that stay up to date while flows arrive."""
+"""Counts that stay up to date while flows arrive.
+
+Each micro-batch adds its own counts under ``first=<batch>/last=<batch>``, replacing them if it is
+repeated. A read sums the batches, so flows may come as late as they like and no state is held.
+``compact_live_counts`` sums what is there into ``first=0/last=<batch>``; later reads take that and
+the batches after it, and skip the rest by partition.
+"""
 
 from __future__ import annotations
 
@@ -6,29 +12,28 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from flowtide.streaming.jobs import AVAILABLE_NOW
 
 KEYS = ["window_start", "Proto", "prediction"]
+_LAYOUT = T.StructType([
+    T.StructField("window_start", T.TimestampNTZType()), T.StructField("Proto", T.StringType()),
+    T.StructField("prediction", T.IntegerType()), T.StructField("n", T.LongType()),
+    T.StructField("first", T.LongType()), T.StructField("last", T.LongType()),
+])
 
 
-def live_flow_counts(
-    flows: DataFrame, width: str = "1 hour", lateness: str = "1 hour"
-) -> DataFrame:
-    """Flows per time window, protocol and prediction.
-
-    State holds one row per key and window, counts are combined before the shuffle, and a window is
-    dropped from state once the watermark has passed it.
-    """
-    timed = flows.withColumn("event_time", F.col("StartTime").cast("timestamp"))
-    counts = (
-        timed.withWatermark("event_time", lateness)
-        .groupBy(F.window("event_time", width), "Proto", "prediction")
-        .agg(F.count("*").alias("n"))
+def live_flow_counts(flows: DataFrame, width: str = "1 hour") -> DataFrame:
+    """Flows per time window, protocol and prediction; flows without a time have no window."""
+    timed = flows.withColumn("StartTime", F.col("StartTime").cast("timestamp_ntz"))
+    counts = timed.groupBy(F.window("StartTime", width), "Proto", "prediction").agg(
+        F.count("*").alias("n")
+    )
+    return counts.select(
+        F.col("window.start").alias("window_start"), "Proto", F.col("prediction").cast("int"), "n"
     )
-    start = F.col("window.start").cast("timestamp_ntz").alias("window_start")
-    return counts.select(start, "Proto", "prediction", "n")
 
 
 def run_live_counts(
@@ -36,21 +41,37 @@ def run_live_counts(
     path: str,
     checkpoint: str,
     width: str = "1 hour",
-    lateness: str = "1 hour",
     trigger: Mapping[str, object] = AVAILABLE_NOW,
 ) -> StreamingQuery:
-    """Write the changed counts of each micro-batch under ``path``."""
+    """Add the counts of each micro-batch under ``path``."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        counts = live_flow_counts(batch, width)
+        counts.write.mode("overwrite").parquet(f"{path}/first={batch_id}/last={batch_id}")
 
     return (
-        live_flow_counts(flows, width, lateness).writeStream.outputMode("update")
-        .foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**trigger).start()
+        flows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+        .trigger(**trigger).start()
+    )
+
+
+def _current(spark: SparkSession, path: str) -> DataFrame:
+    """The widest sum and the batches after it."""
+    found = spark.read.schema(_LAYOUT).parquet(path)
+    summed = found.where("first = 0").agg(F.max("last").alias("last")).scalar()
+    return found.where(
+        (F.col("first") > F.coalesce(summed, F.lit(-1)))
+        | ((F.col("first") == 0) & (F.col("last") == summed))
     )
 
 
 def read_live_counts(spark: SparkSession, path: str) -> DataFrame:
-    """The last count written for each key."""
-    updates = spark.read.parquet(path)
-    return updates.groupBy(*KEYS).agg(F.max_by("n", "batch_id").alias("n"))
+    return _current(spark, path).groupBy(*KEYS).agg(F.sum("n").alias("n"))
+
+
+def compact_live_counts(spark: SparkSession, path: str) -> None:
+    """Sum all batches so far. Run it between reads; the folders it makes needless may be deleted."""
+    last = _current(spark, path).where("first > 0").agg(F.max("last")).first()[0]
+    if last is not None:  # else there is nothing but the last sum
+        summed = _current(spark, path).where(F.col("last") <= last).groupBy(*KEYS)
+        summed.agg(F.sum("n").alias("n")).write.parquet(f"{path}/first=0/last={last}")

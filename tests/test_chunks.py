@@ -81,8 +81,24 @@ def test_foreign_message_with_bare_nan_and_missing_columns(spark):
     assert first.StartTime == dt.datetime(2011, 8, 12, 15, 24, 1, 500000)
 
 
-def test_broken_message_gives_no_rows(spark):
-    assert chunks.unpack_chunks(message(spark, "{", "", FOREIGN)).count() == 2
+def test_broken_messages_are_found_not_lost(spark):
+    sent = message(spark, "{", "", FOREIGN, '{"Dur": {"0": 1}}', None)
+    assert chunks.unpack_chunks(sent).count() == 2
+    found = chunks.broken_chunks(sent).collect()
+    assert {r.value for r in found} == {"{", "", '{"Dur": {"0": 1}}', None}
+    sent = message(spark, "{", "", '{"Proto": "tcp"}', None, "{}")
+    assert chunks.decode_row_json(sent, RAW_FLOW).count() == 2
+    assert {r.value for r in chunks.broken_rows(sent).collect()} == {"{", "", None}
+
+
+def test_null_and_repeated_chunks_are_packed(spark):
+    flows = many(spark, 40).withColumns(
+        {"chunk": F.when(F.col("flow_id") < 20, 7), "idx": (F.col("flow_id") % 10).cast("int")}
+    )
+    messages = chunks.pack_chunks(flows)
+    assert max(len(json.loads(r.value)["Dur"]) for r in messages.collect()) <= 10
+    back = chunks.unpack_chunks(messages, RAW_WITH_ID)
+    assert rows(back.drop("key", "idx")) == rows(flows.drop("chunk", "idx"))
 
 
 def test_message_median(spark):

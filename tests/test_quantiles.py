@@ -5,7 +5,9 @@ import random
 
 import pytest
 
+from flowtide.operators.histograms import value_histogram
 from flowtide.operators.quantiles import column_median, exact_quantile
+from tests.helpers import jobs_of
 
 
 def frame(spark, values, kind="double"):
@@ -56,3 +58,16 @@ def test_integers_keep_their_type(spark):
 def test_relative_error_stays_within_its_ranks(spark):
     values = [float(v) for v in range(1000)]
     assert 250 <= column_median(frame(spark, values), "x", rel_error=0.25) <= 750
+
+
+def test_infinities_are_end_values(spark):
+    values = [float(v) for v in range(1, 1001)] + [math.inf, -math.inf, math.inf]
+    df = frame(spark, values)
+    assert jobs_of(spark, lambda: column_median(df, "x")) <= 8
+    for p in (0.0, 0.0005, 0.5, 0.99, 1.0):
+        assert exact_quantile(df, "x", p) == low(values, p)
+    assert column_median(frame(spark, [math.inf, -math.inf]), "x") == -math.inf
+    bins = value_histogram(df, "x", 10).collect()
+    assert sum(b.n for b in bins) == 1000
+    assert (min(b.bin_start for b in bins), max(b.bin_end for b in bins)) == (1.0, 1000.0)
+    assert value_histogram(frame(spark, [math.inf]), "x", 10).count() == 0

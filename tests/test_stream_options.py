@@ -5,8 +5,11 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from flowtide.functions.flow import start_time
+from flowtide.functions.flow import from_micros, micros, start_time
+from flowtide.operators.histograms import protocol_over_time
 from flowtide.streaming import jobs
+from flowtide.streaming.live import live_flow_counts
+from tests.helpers import rows
 
 
 def test_options_that_do_not_fit():
@@ -27,3 +30,25 @@ def test_times_in_a_zone_with_clock_changes(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert got == ["2024-03-10 02:30:00.5", "2024-03-10 02:30:00.5", "2024-11-03 01:30:00", None, None]
+
+
+def test_bins_and_windows_in_a_zone_with_clock_changes(spark):
+    hours = ["2024-03-10 01:30:00", "2024-03-10 02:30:00", "2024-11-03 00:30:00.000001",
+             "2024-11-03 01:30:00", "2024-11-03 02:30:00", "1969-12-31 23:59:59.5"]
+    flows = spark.createDataFrame([(t,) for t in hours], "t string").selectExpr(
+        "cast(t as timestamp_ntz) as StartTime", "'tcp' as Proto", "1 as prediction"
+    )
+
+    def found():
+        exact = flows.select(from_micros(micros(F.col("StartTime"))).cast("string").alias("s"))
+        return [rows(d.select(*[F.col(c).cast("string") for c in d.columns]))
+                for d in (protocol_over_time(flows, 50), live_flow_counts(flows), exact)]
+
+    wanted = found()
+    assert sum(int(r[3]) for r in wanted[0]) == len(wanted[1]) == 6
+    assert wanted[2] == sorted((t,) for t in hours)
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        assert found() == wanted
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")

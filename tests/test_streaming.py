@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from flowtide.operators import chunks
 from flowtide.operators.encode import preprocess_flows
 from flowtide.operators.learning import score_flows
-from flowtide.schema import ENCODED_FLOW, LABELLED_FLOW, RAW_FLOW
-from flowtide.sources.files import read_labelled
+from flowtide.schema import ENCODED_FLOW, LABELLED_FLOW, MESSAGE, RAW_FLOW
+from flowtide.sources.files import read_labelled, write_labelled
 from flowtide.sources.topics import stream_flows
 from flowtide.streaming import jobs, live
 from tests.helpers import NOON, raw_flows, rows
@@ -119,20 +119,56 @@ def test_only_the_first_row_of_each_message_on_request(spark, folders, rule):
     assert {r.TotPkts for r in kept.collect()} == {0, 10, 20, 30}
 
 
-def test_live_counts_equal_batch_counts_over_several_batches(spark, folders):
+def test_live_counts_equal_batch_counts_over_several_batches(spark, folders, tmp_path):
     flows = flows_of(spark, 300).withColumn("prediction", (F.col("flow_id") % 2).cast("int"))
     schema = flows.schema
-    for first in range(0, 300, 100):
+    for first in (100, 200, 0):  # the last batch is hours late
         part = flows.where(F.col("flow_id").between(first, first + 99)).coalesce(1)
         part.write.mode("append").parquet(folders("flows"))
         stream = spark.readStream.schema(schema).parquet(folders("flows"))
         live.run_live_counts(
-            stream, folders("live"), folders("c5"), "1 hour", "1 hour"
+            stream, folders("live"), folders("c5"), "1 hour"
         ).awaitTermination()
     expected = flows.groupBy(
         F.date_trunc("hour", "StartTime").cast("timestamp_ntz").alias("w"), "Proto", "prediction"
     ).count()
     assert rows(live.read_live_counts(spark, folders("live"))) == rows(expected)
+    for _ in range(2):
+        live.compact_live_counts(spark, folders("live"))
+        assert rows(live.read_live_counts(spark, folders("live"))) == rows(expected)
+    assert (tmp_path / "live" / "first=0" / "last=2").is_dir()
+
+
+def test_batch_and_stream_loads_share_a_table(spark, folders, rule):
+    labelled = score_flows(preprocess_flows(flows_of(spark, 6), 1.0), rule)
+    chunks.encode_row_json(labelled.where("TotPkts < 3")).write.parquet(folders("labelled"))
+    for _ in range(2):  # a lost checkpoint repeats the load, which replaces itself
+        batch = spark.read.parquet(folders("labelled"))
+        write_labelled(chunks.decode_row_json(batch, LABELLED_FLOW), folders("table"), load="a")
+    queries = [
+        jobs.stream_sink_table(
+            stream_flows(spark, "parquet", {}, folders("labelled")), folders(f"table{i}"),
+            folders(f"c{i}"), name=f"table{i}",
+        )
+        for i in range(2)
+    ]
+    for query in queries:
+        query.awaitTermination()
+    assert read_labelled(spark, folders("table0")).count() == 3
+    write_labelled(labelled.where("TotPkts >= 3"), folders("table"))
+    assert sorted(r.TotPkts for r in read_labelled(spark, folders("table")).collect()) == list(range(6))
+
+
+def test_a_message_ends_in_rows_or_in_rejects(spark, folders):
+    send(flows_of(spark), folders("logs"))
+    broken = [("9", "{"), (None, ""), ("8", None), ("7", '{"Dur": {"0": 1}}')]
+    spark.createDataFrame(broken, MESSAGE).write.mode("append").parquet(folders("logs"))
+    assert jobs.decode_encoded(run_preprocess(spark, folders, 1.0)).count() == 35
+    jobs.run_reject_stream(
+        stream_flows(spark, "parquet", {}, folders("logs")), "parquet",
+        {"path": folders("rejects")}, folders("c9"),
+    ).awaitTermination()
+    assert rows(spark.read.parquet(folders("rejects"))) == sorted(broken, key=repr)
 
 
 def test_stateless_stage_holds_no_state(spark, folders):
