@@ -222,7 +222,7 @@ def load(spark: SparkSession, path: str) -> Broadcast:
 
 
 @cache
-def _codec(content: bytes, merges: bool = True) -> Codec:
+def _codec(content: bytes, merges: bool) -> Codec:
     return Codec(content, merges)
 
 
@@ -248,6 +248,7 @@ def encode(docs: DataFrame, model: Broadcast, text: str = "text", ids: str = "id
                 column = pa.ListArray.from_arrays(pa.array(ends), values, mask=pa.array([x is None for x in found]))
                 yield pa.RecordBatch.from_arrays([*(c.slice(first, last - first) for c in batch.columns), column], schema.names)
                 first = last
+        codec.remembered.clear()  # a worker that lives on should not hold what its tasks have met
 
     return docs.mapInArrow(run, schema)
 
@@ -259,7 +260,7 @@ def decode(encoded: DataFrame, model: Broadcast, ids: str = "ids", text: str = "
     schema = T.StructType([*encoded.schema.fields, T.StructField(text, T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(model.value)
+        codec = _codec(model.value, True)
         for batch in batches:
             for first in range(0, batch.num_rows, 500):
                 part = batch.slice(first, 500)
