@@ -1,7 +1,8 @@
 """Secret scans: candidates by form, false positives removed by a random forest.
 
-A candidate is a word with a run of 16 characters or more of letters, digits and ``+/_=-`` that has a
-digit. The forest sees its length, its changes between kinds of characters, shares of digits, capitals and
+A candidate is a run of 16 characters or more of letters, digits and ``+/_=-`` that has a digit; a
+word between blanks may hold many, as in minified JSON, and each is a candidate of its own. A name that
+is assigned to a run within its word counts as the word before it. The forest sees its length, its changes between kinds of characters, shares of digits, capitals and
 hexadecimal digits, how much of it is words of the corpus, the path of its document and the words
 next to it. It learns from labelled findings, ``SAMPLE`` rows at most, the first by a hash.
 
@@ -24,13 +25,15 @@ from flowtide.llm import common
 
 SAMPLE, TREES, DEPTH, SEED, COMMON = 20_000, 30, 6, 42, 10
 _RUN = r"[A-Za-z0-9+/_=-]{16,}"
+_ASSIGNED = r"([A-Za-z0-9+/_.-]+)[\"'\]]*[=:]+[\"'\[{(]*$"
 _NAMES = r"(?i)(token|secret|passw|api|key|auth|bearer|credential)"
 _NUMBERS = ("length", "changes", "digits", "capitals", "hexadecimal", "covered", "path_length", "path_depth",
             "path_test", "path_bucket", "named", "assigned", "quoted", "before_bucket", "after_bucket", "before_length", "after_length")
 
 
 def candidates(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str = "source") -> DataFrame:
-    """key, path, word (its place, from 0), candidate, its whole word, the two words before and the one after."""
+    """key, path, word (its place, from 0), run (its place in the word), candidate, the word or, where it has several
+    runs, the run's part of it (``whole``), the two words before and the one after."""
     split = docs.select(F.col(key).alias("key"), F.coalesce(F.col(path), F.lit("")).alias("path"),
                         F.split(F.coalesce(F.col(text), F.lit("")), r"\s+").alias("w"))
     at = F.filter(F.sequence(F.lit(0), F.size("w") - 1), lambda i: (F.length(F.get("w", i)) >= 16) & F.get("w", i).rlike("[0-9]") & F.get("w", i).rlike(_RUN))
@@ -38,7 +41,19 @@ def candidates(docs: DataFrame, key: str = "doc_id", text: str = "text", path: s
     found = split.select("key", "path", F.explode(F.transform(at, lambda i: F.struct(
         i.alias("word"), word(i).alias("whole"), word(i - 1).alias("before"), word(i - 2).alias("before2"), word(i + 1).alias("after")
     ))).alias("c")).select("key", "path", "c.*")
-    return found.withColumn("candidate", F.regexp_extract("whole", _RUN, 0)).filter(F.col("candidate").rlike("[0-9]"))
+    # Between n runs lie n + 1 gaps, the first and the last of which may be empty.
+    runs = found.withColumns({"runs": F.regexp_extract_all("whole", F.lit(_RUN), F.lit(0)), "gaps": F.split("whole", _RUN, -1)})
+    runs = runs.select("*", F.posexplode("runs").alias("run", "candidate")).filter(F.col("candidate").rlike("[0-9]"))
+    gap, last = F.get("gaps", F.col("run")), F.when(F.col("run") > 0, F.get("runs", F.col("run") - 1))
+    runs = runs.withColumn("name", F.regexp_extract(F.concat(F.coalesce(last, F.lit("")), gap), _ASSIGNED, 1))
+    own = F.concat(F.when((gap == "") | ~gap.rlike("[A-Za-z0-9]"), F.col("name")).otherwise(F.lit("")), gap, "candidate",
+                   F.regexp_extract(F.get("gaps", F.col("run") + 1), "^[^=:,]*", 0))
+    inside = F.col("name") != ""
+    return runs.select(
+        "key", "path", "word", "run", "candidate", F.when(F.size("runs") == 1, F.col("whole")).otherwise(own).alias("whole"),
+        F.when(inside, F.concat("name", F.lit(":"))).otherwise(F.col("before")).alias("before"),
+        F.when(inside, F.col("before")).otherwise(F.col("before2")).alias("before2"), "after",
+    )
 
 
 def _share(text: Column, kind: str) -> Column:
@@ -81,7 +96,7 @@ def scan(featured: DataFrame, labelled: DataFrame, sample: int = SAMPLE) -> Data
 
     ``labelled`` are findings with features and ``label``, 1 for secrets and 0 for false positives.
     """
-    place = F.xxhash64(F.lit(SEED), "key", "word", "candidate")
+    place = F.xxhash64(F.lit(SEED), "key", "word", "run", "candidate")
     taught = common.store(labelled.select(place.alias("place"), *_NUMBERS, F.col("label").cast("double").alias("label")).filter("label is not null")
                           .orderBy("place", "label", *_NUMBERS).limit(sample), "labelled-findings")
     if taught.select("label").distinct().count() < 2:
