@@ -707,7 +707,7 @@ def _score_flows_forest(spark, sf_dir):
 
 @_register("score_flows_boosted")
 def _score_flows_boosted(spark, sf_dir):
-    return _scored(spark, sf_dir, method="boosted", trees=5)
+    return _scored(spark, sf_dir, method="boosted")
 
 
 # ---- Streams ---------------------------------------------------------------------------------
