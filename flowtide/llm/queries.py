@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowtide.llm import common, decontamination, exact_dedup, language_id, lm, pieces, quality, secret_scan, sharding, simhash, sql, url_filter
+from flowtide.llm import (
+    common, decontamination, exact_dedup, language_id, lm, periodic_runs, personal_data, pieces, quality, secret_scan, sharding,
+    simhash, sql, url_filter, vector_codes,
+)
 from flowtide.llm.common import documents, ship
 
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
@@ -178,3 +181,121 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
     judged = quality.judge(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return judged.select(F.col("key").alias("doc_id"), "lang", F.col("tokens").alias("n_tokens"), "log10_perplexity", "threshold", "kept")
+
+
+@_register("op11_pii")
+def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base, added = F.col("base"), F.col("added")
+    found = personal_data.find(documents(spark, sf_dir).select("doc_id", "text"))
+    return found.select(
+        "doc_id", *[personal_data.count_of(base, k).alias(f"n_{k}") for k in personal_data.KINDS],
+        F.sha2(personal_data.listed(base), 256).alias("base_sha256"),
+        personal_data.listed(personal_data.all_spans(base, added)).alias("spans"), F.size(added).cast("long").alias("n_added"),
+    )
+
+
+_RUN_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+
+@_register("op12_periodic_runs", f"""with {sql.CRC_TABLE},
+docs as (select doc_id, {_RUN_WORDS} as o, {sql.crc32('cast(doc_id as varchar)')} as h from documents cross join crc_table),
+looped as (select doc_id, o, len(o) as n, h % 10 = 0 and len(o) > 0 as loops, (h // 10) % greatest(len(o), 1) as a,
+    1 + (len(o) - (h // 10) % greatest(len(o), 1)) // (3 + (h // 10) % 8) as p from docs),
+texts as (select doc_id, n, case when loops then list_transform(range(n),
+    lambda i: o[1 + case when i < a then i else a + (i - a) % p end]) else o end as w from looped),
+words as (select doc_id, n, unnest(w) as x, unnest(range(n)) as i from texts),
+lags as (select doc_id, n, w, unnest(range(1, n // 4 + 1)) as q from texts),
+marks as (select doc_id, q, w, unnest(range(0, greatest((n - 1) // q - 2, 0))) as k from lags),
+likely as (select distinct doc_id, q from marks where w[1 + k * q] = w[1 + k * q + q]
+    and w[1 + k * q] = w[1 + k * q + 2 * q] and w[1 + k * q] = w[1 + k * q + 3 * q]),
+same as (select l.doc_id, l.q, s.i, s.i - row_number() over (partition by l.doc_id, l.q order by s.i) as island
+    from likely l join words s using (doc_id) join words t on t.doc_id = l.doc_id and t.i = s.i + l.q where s.x = t.x),
+wide as (select doc_id, q, min(i) as start, count(*) + q as length from same group by doc_id, q, island
+    having count(*) + q >= greatest(6, 4 * q)),
+runs as (select * from wide r where not exists (select 1 from wide s where s.doc_id = r.doc_id and s.q < r.q
+    and s.start <= r.start and s.start + s.length >= r.start + r.length)),
+longest as (select distinct on (doc_id) * from runs order by doc_id, length desc, start, q),
+listed as (select doc_id, count(*) as n_runs, string_agg(start || ',' || length || ',' || q || chr(10), '' order by start, q) as t
+    from runs group by doc_id),
+gone as (select distinct doc_id, unnest(range(start + q, start + length)) as i from runs),
+kept as (select w.doc_id, string_agg(x, ' ' order by w.i) as t from words w anti join gone using (doc_id, i) group by w.doc_id)
+select d.doc_id, coalesce(n_runs, 0) as n_runs, l.start, l.length, cast(l.q as bigint) as period,
+    cast(1000 * l.length // l.q as bigint) as exponent_milli, sha256(coalesce(r.t, '')) as runs_sha256,
+    sha256(coalesce(k.t, '')) as collapsed_sha256
+from texts d left join longest l using (doc_id) left join listed r using (doc_id) left join kept k using (doc_id)""")
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    found = periodic_runs.detect(docs.select("doc_id", _looped(F.col("doc_id"), F.col("text")).alias("text")), keep=["doc_id"])
+    runs = F.col("periodic.runs")
+    longest = F.array_max(F.transform(runs, lambda r: F.struct(
+        r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    lines = F.transform(runs, lambda r: F.concat_ws(",", *[r[n].cast("string") for n in ("start", "length", "period")]))
+    return found.withColumn("longest", longest).select(
+        "doc_id", F.size(runs).cast("long").alias("n_runs"), (-F.col("longest.start")).alias("start"),
+        F.col("longest.length").alias("length"), (-F.col("longest.period")).alias("period"),
+        F.floor(F.col("longest.length") * -1000 / F.col("longest.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(lines, lambda line: F.concat(line, F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        F.sha2("periodic.collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def _looped(key: Column, text: Column) -> Column:
+    """The contract's texts: where a key's CRC-32 ends in 0, the words from place a on repeat those from a with period p."""
+    h = F.crc32(key.cast("string"))
+    g = F.floor(h / 10)
+
+    def repeat(words: Column) -> Column:
+        n = F.size(words).cast("long")
+        a = F.pmod(g, F.greatest(n, F.lit(1)))
+        p = 1 + F.floor((n - a) / (3 + g % 8))
+        places = F.sequence(F.lit(0).cast("long"), n - 1)
+        loops = F.transform(places, lambda i: F.get(words, F.when(i < a, i).otherwise(a + (i - a) % p).cast("int")))
+        return F.when(n > 0, F.array_join(loops, " ")).otherwise(text)
+
+    # A lambda's variable holds the words, so that they are split once for a text.
+    words = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    return F.when(h % 10 == 0, F.get(F.transform(F.array(words), repeat), F.lit(0))).otherwise(text)
+
+
+def _vector_rounds() -> str:
+    """The rounds of op13 in SQL, one after another."""
+    def assigned(books: str) -> str:
+        return f"""select p.position, p.part, p.weight, arg_min(b.entry, (d, b.entry)) as entry, min(d) as d from (
+            select p.*, b.entry, list_sum(list_transform(list_zip(p.part, b.part), lambda z: (z[1] - z[2]) ** 2)) as d
+            from parts p join {books} b using (position)) p join {books} b using (position, entry) group by 1, 2, 3"""
+
+    steps = []
+    for r in range(vector_codes.ROUNDS):
+        steps.append(f"""near{r} as materialized ({assigned(f'books{r}')}),
+books{r + 1} as materialized (select b.position, b.entry, coalesce(n.part, b.part) as part from books{r} b left join (
+    select position, entry, list(cast(floor(s / w) as bigint) order by place) as part from (
+        select position, entry, place, sum(value * weight) as s, sum(weight) as w from (select position, entry, weight,
+            unnest(part) as value, unnest(range(len(part))) as place from near{r}) group by 1, 2, 3) group by 1, 2) n
+    using (position, entry))""")
+    return ",\n".join([*steps, f"near as materialized ({assigned(f'books{vector_codes.ROUNDS}')})"])
+
+
+@_register("op13_vector_codes", f"""with
+whole as (select vec_id, label, list_transform(embedding, lambda x: cast(floor(4096 * cast(x as double)) as bigint)) as v
+    from embeddings where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+cut as (select vec_id, label, unnest(range(8)) as position, unnest(list_transform(range(8),
+    lambda p: v[1 + p * (len(v) // 8) : (p + 1) * (len(v) // 8)])) as part from whole),
+parts as materialized (select position, part, count(*) as weight from cut group by 1, 2),
+books0 as materialized (select position, row_number() over (partition by position order by vec_id) - 1 as entry, part
+    from cut where vec_id in (select vec_id from whole order by vec_id limit 16)),
+{_vector_rounds()},
+coded as (select vec_id, label, string_agg(printf('%02x', entry), '' order by position) as code, cast(sum(d) as bigint) as error
+    from cut join near using (position, part) group by 1, 2),
+digest as (select sha256(string_agg(array_to_string(part, ','), ',' order by position, entry)) as t from books{vector_codes.ROUNDS})
+select vec_id, code, error, cast(sum(error) over (partition by label) as bigint) as label_error, t as codebooks_sha256
+from coded cross join digest""")
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding", "label")
+    books = vector_codes.fit(vectors)
+    if books is None:
+        return spark.createDataFrame([], "vec_id long, code string, error long, label_error long, codebooks_sha256 string")
+    coded = common.store(vector_codes.encode(vectors, books), "codes")
+    of_label = common.stored_side(coded.groupBy(F.col("label").alias("of")).agg(F.sum("error").alias("label_error")), "labels")
+    return coded.join(of_label, F.col("label").eqNullSafe(F.col("of"))).select(
+        "vec_id", "code", "error", "label_error", F.lit(books.sha256()).alias("codebooks_sha256")
+    )
