@@ -160,5 +160,5 @@ def detect(docs: DataFrame, text: str = "text", keep: Sequence[str] | None = Non
                 columns = [part.column(i) for i in range(len(kept))]
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(rows, _ARROW_FOUND)], [*kept, out])
 
-    narrow = docs.select(*kept, docs[text].alias(f"{out}_text"))
+    narrow = docs.select(*kept, docs[text].alias(out))
     return narrow.mapInArrow(run, T.StructType([*carried, T.StructField(out, FOUND)]))

@@ -225,16 +225,15 @@ def mentions(text: str, base: Sequence[Span]) -> list[tuple]:
     return out
 
 
-def scan(docs: DataFrame, text: str = "text", keep: Sequence[str] | None = None) -> DataFrame:
-    """Each row with a mark of its own, its base spans and its mentions; stored, without the texts."""
-    own = {"row", "base", "mentions", "added"}
-    kept = [c for c in (docs.columns if keep is None else keep) if c not in own]
-    carried = [docs.schema[c] for c in kept]
+def scan(docs: DataFrame, text: str = "text", keep: Sequence[str] = ()) -> DataFrame:
+    """Each row as (own, row, base, mentions), stored: the kept columns, a mark of its own, base spans and mentions."""
+    own = F.struct(*[docs[c] for c in keep]) if keep else F.struct(F.lit(None).cast("string").alias("none"))
+    marked = docs.select(own.alias("own"), F.expr("uuid()").alias("row"), docs[text].alias("mentions"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             base, said = [], []
-            for value in batch.column(len(kept) + 1).to_pylist():
+            for value in batch.column(2).to_pylist():
                 if value and _MARK.search(value):
                     spans = base_spans(value)
                     base.append([dict(zip(("kind", "start", "end"), s)) for s in spans])
@@ -242,13 +241,11 @@ def scan(docs: DataFrame, text: str = "text", keep: Sequence[str] | None = None)
                 else:
                     base.append([])
                     said.append([])
-            columns = [batch.column(i) for i in range(len(kept) + 1)]
             found = [pa.array(base, pa.list_(pa.struct(_SPAN_FIELDS))), pa.array(said, pa.list_(pa.struct(_MENTION_FIELDS)))]
-            yield pa.RecordBatch.from_arrays([*columns, *found], [*kept, "row", "base", "mentions"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *found], ["own", "row", "base", "mentions"])
 
-    marked = docs.select(*kept, F.expr("uuid()").alias("row"), docs[text].alias("mentioned_text"))
     layout = T.StructType([
-        *carried, T.StructField("row", T.StringType()), T.StructField("base", T.ArrayType(SPAN)),
+        marked.schema["own"], T.StructField("row", T.StringType()), T.StructField("base", T.ArrayType(SPAN)),
         T.StructField("mentions", T.ArrayType(MENTION)),
     ])
     return store(marked.mapInArrow(run, layout), "mentions")
@@ -325,11 +322,12 @@ def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def find(docs: DataFrame, text: str = "text", keep: Sequence[str] | None = None) -> DataFrame:
-    """``docs`` without the texts and with ``base`` and ``added``: spans (kind, start, end) in code points, end exclusive.
+    """``docs``, or the columns ``keep``, without the texts and with ``base`` and ``added``: spans (kind, start, end) in code points, end exclusive.
 
     ``kind`` is a place in ``KINDS``; ``base`` is ordered by kind and start, ``added`` likewise.
     """
-    scanned = scan(docs, text, [c for c in (docs.columns if keep is None else keep) if c != text])
+    kept = [c for c in (docs.columns if keep is None else keep) if c not in (text, "base", "added")]
+    scanned = scan(docs, text, kept)
     known = bootstrap(scanned)
     free = scanned.select("row", F.inline("mentions")).where("kind is null").drop("kind", "patterns")
     hits = free.join(stored_side(known, "known"), "value").where(F.expr("(shiftright(allowed, kind) & 1) = 1"))
@@ -337,8 +335,8 @@ def find(docs: DataFrame, text: str = "text", keep: Sequence[str] | None = None)
     layout = T.StructType([T.StructField("row", T.StringType()), T.StructField("added", T.ArrayType(SPAN))])
     added = per_row.mapInArrow(_settle, layout)
     none = F.array().cast(T.ArrayType(SPAN))
-    joined = scanned.drop("mentions").join(added, "row", "left").drop("row")
-    return joined.withColumn("added", F.coalesce("added", none))
+    joined = scanned.drop("mentions").join(added, "row", "left")
+    return joined.select(*[F.col("own")[c].alias(c) for c in kept], "base", F.coalesce("added", none).alias("added"))
 
 
 def listed(spans: Column) -> Column:
