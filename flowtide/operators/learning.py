@@ -6,8 +6,11 @@ zero before assembly, and no row is ever skipped.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
-from pyspark.ml import Pipeline, PipelineModel, Transformer
+import math
+from multiprocessing.pool import ThreadPool
+
+from pyspark import StorageLevel, inheritable_thread_target
+from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -24,6 +27,7 @@ MISSING = 0.0
 
 _CLASS = "class_label"
 _INPUT = "x_"
+_PIECE = 1000
 
 
 def fill_features(df: DataFrame) -> DataFrame:
@@ -75,9 +79,30 @@ def _boosted(rounds: int, depth: int, seed: int) -> list:
     ]
 
 
-def _placed(df: DataFrame, partitions: int) -> DataFrame:
-    """Rows dealt by their hash and in order, so that a fit doesn't depend on the input's partitions."""
-    return df.repartition(partitions, *df.columns).sortWithinPartitions(*df.columns)
+def partitions_for(rows: int) -> int:
+    """Partitions of training rows: 10,000 rows each, and more rows each as tables grow (ten times the root)."""
+    return max(1, math.ceil(rows / max(10_000, 10 * math.isqrt(rows))))
+
+
+def _placed(df: DataFrame, partitions: int | None) -> DataFrame:
+    """Rows dealt by their values and in order, so that a fit doesn't depend on the input's partitions.
+
+    Equal rows are counted first and dealt in pieces of ``_PIECE``, so that rows that many share don't meet in one task.
+    """
+    columns = df.columns
+    counted = df.groupBy(*columns).agg(F.count("*").alias("n"))
+    if partitions is None:
+        partitions = partitions_for(df.count())
+    pieces = counted.withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / _PIECE))))
+    dealt = pieces.repartition(partitions, *columns, "piece").sortWithinPartitions(*columns, "piece")
+    copies = F.least(F.lit(_PIECE), F.col("n") - F.col("piece") * _PIECE).cast("int")
+    return dealt.withColumn("copy", F.explode(F.sequence(F.lit(1), copies))).select(*columns)
+
+
+def _fit_side_by_side(estimators: list, rows: DataFrame) -> list:
+    """Fit on one stored table at once; each fit's jobs take the cores that the others leave free."""
+    with ThreadPool(len(estimators)) as pool:
+        return pool.map(inheritable_thread_target(rows.sparkSession)(lambda e: e.fit(rows)), estimators)
 
 
 def train_flow_classifier(
@@ -86,15 +111,16 @@ def train_flow_classifier(
     trees: int = TREES,
     depth: int = MAX_DEPTH,
     seed: int = 42,
-    partitions: int = 8,
+    partitions: int | None = None,
 ) -> PipelineModel:
     """Fit on encoded flows that carry ``isVal`` and ``weight`` (see ``union_train_val``).
 
     ``forest`` fits one three-class random forest on the rows not marked ``isVal``. ``boosted`` fits
-    a gradient-boosted classifier per class and stops early on the rows marked. Rows without one of
-    the three labels are left out. The model follows from rows, seed and number of ``partitions``.
+    a gradient-boosted classifier per class, side by side, and stops each early on the rows marked. Rows without one of
+    the three labels are left out. The model follows from the rows and the seed: ``partitions`` follow from the number of
+    rows unless given (``partitions_for``).
     """
-    stages = {"forest": _forest, "boosted": _boosted}[method](trees, depth, seed)
+    estimators = {"forest": _forest, "boosted": _boosted}[method](trees, depth, seed)
     rows = _labelled(train)
     if method == "boosted":
         rows = rows.withColumns(
@@ -103,18 +129,22 @@ def train_flow_classifier(
     inputs = [c for c in rows.columns if c.startswith((_INPUT, "is_", _CLASS))]
     narrow = _placed(rows.select(*inputs, "isVal", "weight"), partitions)
     # Every tree level is a pass over these rows. They may spill to disk and are rebuilt if lost.
+    narrow = feature_assembler().transform(narrow).drop(*[_INPUT + c for c in FEATURES])
     narrow.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         # Filtered above the stored rows, where the flag is a plain column.
         fitted = narrow if method == "boosted" else narrow.filter(~F.col("isVal"))
-        return Pipeline(stages=[feature_assembler(), *stages]).fit(fitted)
+        return PipelineModel([feature_assembler(), *_fit_side_by_side(estimators, fitted)])
     finally:
         narrow.unpersist()
 
 
 def score_flows(df: DataFrame, model: Transformer) -> DataFrame:
-    """Add an integer ``prediction``; all input columns stay, nothing is joined or collected."""
-    scored = model.transform(fill_features(df))
+    """Add an integer ``prediction``; all input columns stay, nothing is joined or collected.
+
+    A prediction that the rows already carry is no input of the model: it gives way to the model's own.
+    """
+    scored = model.transform(fill_features(df.drop("prediction")))
     if "prediction" in scored.columns:
         chosen = F.col("prediction").cast("int")
     else:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import uuid
+import datetime as dt
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowtide.functions.flow import typed_text
+from flowtide.operators.aggregates import dashboard_metrics
 from flowtide.operators.encode import to_table_row
+from flowtide.operators.select import latest_flows
 from flowtide.schema import LABELLED_TABLE, RAW_FLOW, TRAINING_FLOW
-
-DAY, LOAD = "dt", "load"
+from flowtide.sources import manifest
+from flowtide.sources.manifest import DAY
 
 
 def read_raw_flows(
@@ -54,29 +56,59 @@ def with_day(df: DataFrame) -> DataFrame:
 
 
 def write_labelled(
-    df: DataFrame, path: str, max_records_per_file: int = 5_000_000, load: str | None = None
+    df: DataFrame, path: str, max_records_per_file: int = manifest.MAX_RECORDS, load: str | None = None
 ) -> None:
-    """Add labelled flows to the stored table, partitioned by day and load.
+    """Add labelled flows to the stored table, partitioned by day; readers see the load whole or not at all.
+
+    A load that is repeated under its name replaces itself; without a name each call is a load of its own. Batches and
+    streams write alike and into one table.
+    """
+    commit = manifest.new_commit()
+    number = None if load is None else manifest.next_number(df.sparkSession, path, load)
+    mark = F.lit(None).cast("string") if load is None else F.lit(f"{load}@{number}")
+    rows = with_day(to_table_row(df)).withColumn(manifest.VERSION, mark)
+    parts = manifest.write_parts(rows, path, commit, max_records_per_file)
+    manifest.put_record(manifest.of_load(parts, load, number), path, commit)
+
 
-    A load that is repeated under its name replaces itself in the days that it has; without a name
-    each call is a load of its own. Batches and streams write alike and into one table.
+_STORED = T.StructType([*LABELLED_TABLE.fields, T.StructField(DAY, T.DateType())])
 
-    Rows are rebalanced by day: small days are merged and a day too big for one task is split over
-    several, so a day with a third of all flows does not end in one writer. Within a file rows are
-    in time order, which gives row groups narrow time ranges to skip by.
+
+def read_labelled(spark: SparkSession, path: str, start=None, end=None) -> DataFrame:
+    """The table's rows as the records tell at the time of the call.
+
+    With inclusive times, of parts (loads of a day) that may hold such times only; their rows are not filtered.
     """
-    rows = with_day(to_table_row(df)).hint("rebalance", DAY)
-    (
-        rows.sortWithinPartitions(DAY, "StartTime")
-        .withColumn(LOAD, F.lit(load or uuid.uuid4().hex))
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(DAY, LOAD).option("maxRecordsPerFile", max_records_per_file).parquet(path)
-    )
+    parts = None
+    if start is not None or end is not None:
+        found = manifest.live_parts(manifest.records(spark, path))
+        parts = manifest.parts_between(found, start or dt.datetime.min, end or dt.datetime.max)
+    return manifest.open_parts(spark, path, _STORED, parts).drop(manifest.VERSION)
+
+
+def newest_labelled(spark: SparkSession, path: str, n: int) -> DataFrame:
+    """The newest ``n`` flows of the table. The records tell which parts may hold them; no other file is opened."""
+    parts = manifest.newest_parts(manifest.records(spark, path), n)
+    return latest_flows(manifest.open_parts(spark, path, _STORED, parts).drop(manifest.VERSION), n)
+
+
+def labelled_metrics(spark: SparkSession, path: str) -> DataFrame:
+    """``dashboard_metrics`` of the whole table, distinct addresses by merged sketches, read from the records alone.
+
+    A table with merged parts that a repeated load has made stale is scanned instead.
+    """
+    found = manifest.metrics(spark, path)
+    return dashboard_metrics(read_labelled(spark, path), approximate=True) if found is None else found
+
+
+def compact_labelled(spark: SparkSession, path: str, target_rows: int = manifest.MAX_RECORDS) -> int:
+    """Merge small loads of a day; readers see each row once throughout. Returns how many parts were merged."""
+    return manifest.compact(spark, path, _STORED, target_rows)
 
 
-def read_labelled(spark: SparkSession, path: str) -> DataFrame:
-    layout = T.StructType([*LABELLED_TABLE.fields, T.StructField(DAY, T.DateType())])
-    return spark.read.schema(layout.add(LOAD, T.StringType())).parquet(path).drop(LOAD)
+def tidy_labelled(spark: SparkSession, path: str, keep_hours: float = 24.0) -> int:
+    """Remove files that were replaced over ``keep_hours`` ago, and gather old records."""
+    return manifest.tidy(spark, path, keep_hours)
 
 
 def save_model(model: PipelineModel, path: str) -> None:

@@ -1,13 +1,14 @@
 """Counts that stay up to date while flows arrive.
 
-Each micro-batch adds its own counts under ``first=<batch>/last=<batch>``, replacing them if it is
-repeated. A read sums the batches, so flows may come as late as they like and no state is held.
+Each micro-batch adds its own counts under ``first=<batch>/last=<batch>``, where they appear at once; a
+repeated batch finds them there. A read sums the batches, so flows may come as late as they like and no state is held.
 ``compact_live_counts`` sums what is there into ``first=0/last=<batch>``; later reads take that and
-the batches after it, and skip the rest by partition.
+the batches after it, and skip the rest by partition. Sums appear at once too, so reads may go on meanwhile.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from flowtide.sources import manifest
 from flowtide.streaming.jobs import AVAILABLE_NOW
 
 KEYS = ["window_start", "Proto", "prediction"]
@@ -46,8 +48,7 @@ def run_live_counts(
     """Add the counts of each micro-batch under ``path``."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        counts = live_flow_counts(batch, width)
-        counts.write.mode("overwrite").parquet(f"{path}/first={batch_id}/last={batch_id}")
+        _place(live_flow_counts(batch, width), path, batch_id, batch_id)
 
     return (
         flows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
@@ -55,6 +56,15 @@ def run_live_counts(
     )
 
 
+def _place(counts: DataFrame, path: str, first: int, last: int) -> None:
+    """Write counts where no reader looks, then let them appear whole by one rename."""
+    spark, place = counts.sparkSession, f"{path}/first={first}/last={last}"
+    if not manifest.exists(spark, place):
+        staged = f"{path}/_staging/{uuid.uuid4().hex}"
+        counts.write.parquet(staged)
+        manifest.rename(spark, staged, place)
+
+
 def _current(spark: SparkSession, path: str) -> DataFrame:
     """The widest sum and the batches after it."""
     found = spark.read.schema(_LAYOUT).parquet(path)
@@ -70,8 +80,8 @@ def read_live_counts(spark: SparkSession, path: str) -> DataFrame:
 
 
 def compact_live_counts(spark: SparkSession, path: str) -> None:
-    """Sum all batches so far. Run it between reads; the folders it makes needless may be deleted."""
+    """Sum all batches so far. The folders it makes needless may be deleted when older reads have ended."""
     last = _current(spark, path).where("first > 0").agg(F.max("last")).first()[0]
     if last is not None:  # else there is nothing but the last sum
         summed = _current(spark, path).where(F.col("last") <= last).groupBy(*KEYS)
-        summed.agg(F.sum("n").alias("n")).write.parquet(f"{path}/first=0/last={last}")
+        _place(summed.agg(F.sum("n").alias("n")), path, 0, last)

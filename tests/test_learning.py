@@ -75,3 +75,37 @@ def test_any_transformer_that_predicts_can_score(spark):
     rule = SQLTransformer(statement="SELECT *, 2 AS prediction FROM __THIS__")
     scored = learning.score_flows(preprocess_flows(raw_flows(spark, {}), 0.0), rule)
     assert scored.select(F.col("prediction")).first().prediction == 2
+
+
+@pytest.mark.parametrize("method", ["forest", "boosted"])
+def test_old_predictions_give_way(spark, method):
+    trained = train_from_flows(separable(spark), method=method, trees=3)
+    encoded = preprocess_flows(separable(spark), trained.stos_fill, keep=["flow_id"])
+    plain = learning.score_flows(encoded, trained.model)
+    again = learning.score_flows(encoded.withColumn("prediction", F.lit(7)), trained.model)
+    assert again.columns == plain.columns
+    assert sorted(again.select("flow_id", "prediction").collect()) == sorted(plain.select("flow_id", "prediction").collect())
+    assert learning.evaluate_flows(plain, trained.model).first().accuracy == 1.0
+
+
+def test_training_partitions_follow_the_rows():
+    counts = [learning.partitions_for(n) for n in (0, 1, 10_000, 100_000, 10**6, 10**9, 10**12)]
+    assert counts == [1, 1, 1, 10, 100, 3163, 100_000]
+
+
+def test_equal_rows_are_dealt_to_many_partitions(spark, monkeypatch):
+    monkeypatch.setattr(learning, "_PIECE", 20)
+    df = spark.range(1000).select(F.when(F.col("id") < 400, -1).otherwise(F.col("id")).alias("a"), F.lit(0.5).alias("b"))
+    placed = learning._placed(df, 8).withColumn("at", F.spark_partition_id())
+    sizes = [r["count"] for r in placed.groupBy("at").count().collect()]
+    assert sum(sizes) == 1000 and len(sizes) == 8 and max(sizes) < 250
+    assert placed.where("a = -1").count() == 400
+
+
+def test_a_model_does_not_depend_on_the_layout(spark):
+    fitted = [
+        train_from_flows(flows, method=method, trees=2).model.stages[1].toDebugString.split("\n", 1)[1]
+        for method in ("forest", "boosted")
+        for flows in (separable(spark), separable(spark).repartition(7, "Dur").orderBy(F.desc("flow_id")))
+    ]
+    assert fitted[0] == fitted[1] and fitted[2] == fitted[3]
