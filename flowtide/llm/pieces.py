@@ -7,7 +7,8 @@ boundary then has one path to it. Either way the search keeps a window bounded b
 meet in one boundary, the ids before it are final and the window moves up. Two kinds of boundaries
 are known beforehand: if no piece has a blank after another character, all paths meet before every
 run of blanks, and they meet around each character that no longer piece contains. The text is cut
-there, and short cuts are remembered, as most words repeat.
+there. Cuts that fit in one window are searched together in numpy, all of a batch's new ones a boundary at a
+time, and remembered, as most words repeat; longer ones are searched one by one with the window moving on.
 
 The text is read as it is (no normalisation), after one blank unless it is empty. Blanks are the
 pieces' U+2581; a character without a piece, U+2581 itself included, becomes the pieces of its UTF-8
@@ -28,14 +29,19 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from flowtide.llm.common import utf8_parts
+
 MODEL_BYTES = 64 << 20
-REMEMBERED, SHORT = 400_000, 64
-OUTPUT_BYTES = 8 << 20
+#: A window has room for four of the longest pieces.
+REMEMBERED, WINDOWS = 200_000, 4
+PART_BYTES, ROWS = 1 << 20, 500
+_CHARS = 1 << 21
 
 
 class Codec:
@@ -67,7 +73,23 @@ class Codec:
         alone_or = f"[{alone}]|" if alone else ""
         blank_first = not any(" " in p.lstrip(" ") for p in self.score)
         self.cut = re.compile(f"{alone_or} *[^ {alone}]+| +" if blank_first else r"[\s\S]+").findall
-        self.remembered = _Remembered(self)
+        self.remembered: dict[str, bytes] = {}
+        self._build_tables()
+
+    def _build_tables(self) -> None:
+        """The pieces' prefixes as nodes of a trie, edges sorted by node and character; bytes of all pieces in one array."""
+        nodes = {"": 0} | {prefix: n for n, prefix in enumerate(self.known, 1)}
+        edges = sorted((nodes[p[:-1]] * _CHARS + ord(p[-1]), n) for p, n in nodes.items() if p)
+        self.edge_key = np.array([k for k, _ in edges], np.int64)
+        self.edge_node = np.array([n for _, n in edges], np.int64)
+        self.node_piece = np.full(len(nodes), -1, np.int64)
+        self.node_score = np.zeros(len(nodes))
+        for piece, (score, i) in self.score.items():
+            self.node_piece[nodes[piece]], self.node_score[nodes[piece]] = i, score
+        self.pair_key, self.pair_stays = np.zeros(1, np.int64), np.zeros(1, bool)
+        self.piece_bytes = np.frombuffer(b"".join(self.content), np.uint8)
+        self.piece_size = np.array([len(c) for c in self.content], np.int64)
+        self.piece_start = np.cumsum(self.piece_size) - self.piece_size
 
     def search(self, text: str) -> list[int]:
         """Ids of the segmentation that ends the one path through all of ``text``."""
@@ -83,6 +105,8 @@ class Codec:
                     found = self.unknown, -1
                 while found is not None:
                     score, piece = found
+                    if score is None and end == i + 1:
+                        score = self.unknown
                     if score is not None:
                         at = end - start
                         while len(best) <= at:
@@ -101,10 +125,10 @@ class Codec:
                         elif best[at] is None or here + score > best[at]:
                             best[at], back[at], last[at] = here + score, i, piece
                     end += 1
-                    if end > n or piece == -1 and score is not None:
+                    if end > n:
                         break
                     found = known.get(text[i:end])
-            if i + 1 - start >= 4 * window:
+            if i + 1 - start >= WINDOWS * window:
                 # Paths that can still grow end after this character or up to a piece before and after it.
                 ends = {p for p in range(i + 1, start + len(best)) if best[p - start] is not None}
                 while len(ends) > 1:
@@ -118,48 +142,101 @@ class Codec:
                     best, back, last, start = best[cut:], back[cut:], last[cut:], meet
         return out + self._ids(text, back, start, n)
 
-    def search_short(self, text: str) -> list[int]:
-        """The same path for a model of merges, looked for depth first and from the longest piece down.
-
-        There is only one, so the first that reaches the end is it.
-        """
-        known, pairs, n, i, before = self.known, self.pairs, len(text), 0, -1
-        out: list[int] = []
-        path: list[tuple[int, int, list[tuple[int, int]]]] = []
-        while i < n:
-            steps, end = [], i + 1
-            found = known.get(text[i:end])
-            if found is None:
-                steps.append((end, -1))
-            while found is not None:
-                if found[0] is not None:
-                    steps.append((end, found[1]))
-                elif end == i + 1:
-                    steps.append((end, -1))
+    def _pairs_stay(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+        """``_stays`` of many pairs, each different one worked out once."""
+        key = first << 32 | second
+        at = np.minimum(np.searchsorted(self.pair_key, key), len(self.pair_key) - 1)
+        stays, known = self.pair_stays[at], self.pair_key[at] == key
+        if not known.all():
+            new, which = np.unique(key[~known], return_inverse=True)
+            answers = []
+            for k in new.tolist():
+                stay = self.pairs.get(k)
+                if stay is None:
+                    stay = self.pairs[k] = self._stays(k >> 32, k & 0xFFFFFFFF)
+                answers.append(stay)
+            stays[~known] = np.array(answers)[which]
+        return stays
+
+    def _sort_pairs(self) -> None:
+        if len(self.pairs) + len(self.pair_key) > 4 * REMEMBERED:
+            self.pair_key, self.pair_stays = np.zeros(1, np.int64), np.zeros(1, bool)
+        key = np.concatenate([self.pair_key, np.fromiter(self.pairs, np.int64, len(self.pairs))])
+        stays = np.concatenate([self.pair_stays, np.fromiter(self.pairs.values(), bool, len(self.pairs))])
+        self.pair_key, first = np.unique(key, return_index=True)
+        self.pair_stays = stays[first]
+        self.pairs.clear()
+
+    def search_many(self, texts: list[str]) -> list[bytes]:
+        """Ids, as 32-bit numbers, of texts that fit in one window: the search of all at once, boundary by boundary."""
+        if not texts:
+            return []
+        texts_by_size = sorted(range(len(texts)), key=lambda t: -len(texts[t]))
+        size = np.array([len(texts[t]) for t in texts_by_size], np.int64)
+        chars = np.frombuffer("".join([texts[t] for t in texts_by_size]).encode("utf-32-le"), np.uint32).astype(np.int64)
+        char_at = np.cumsum(size) - size
+        bound_at = char_at + np.arange(len(texts))
+        best = np.full(int(size.sum()) + len(texts), -np.inf)
+        back, last = np.zeros(len(best), np.int64), np.full(len(best), -1, np.int64)
+        best[bound_at] = 0.0
+
+        def reach(text: np.ndarray, i: int, end: int, piece: np.ndarray, score: np.ndarray) -> None:
+            here, there = bound_at[text] + i, bound_at[text] + end
+            total = best[here] + (0.0 if self.merges else score)
+            if self.merges:
+                before = last[here]
+                ask = (before >= 0) & (piece >= 0)
+                good = np.ones(len(text), bool)
+                good[ask] = self._pairs_stay(before[ask], piece[ask])
+            else:
+                good = total > best[there]
+            there = there[good]
+            best[there], back[there], last[there] = total[good], i, piece[good]
+
+        for i in range(int(size[0])):
+            text = np.arange(np.searchsorted(-size, -i))
+            text = text[best[bound_at[text] + i] > -np.inf]
+            node, end = np.zeros(len(text), np.int64), i
+            while len(text):
                 end += 1
-                if end > n:
-                    break
-                found = known.get(text[i:end])
-            while True:
-                while not steps:  # a dead end: back to the last place with another step
-                    i, before, steps = path.pop()
-                    out.pop()
-                end, piece = steps.pop()
-                if before < 0 or piece < 0:
-                    break
-                stays = pairs.get(before << 32 | piece)
-                if stays is None:
-                    stays = pairs[before << 32 | piece] = self._stays(before, piece)
-                if stays:
-                    break
-            path.append((i, before, steps))
-            out.append(piece)
-            i, before = end, piece
-        if -1 in out:
-            ids: list[int] = []
-            for (start, _, _), piece in zip(path, out, strict=True):
-                ids += [piece] if piece >= 0 else [self.byte_id[x] for x in text[start].encode()]
-            return ids
+                key = node * _CHARS + chars[char_at[text] + end - 1]
+                at = np.minimum(np.searchsorted(self.edge_key, key), len(self.edge_key) - 1)
+                found = self.edge_key[at] == key
+                node = np.where(found, self.edge_node[at], 0)
+                piece = np.where(found, self.node_piece[node], -1)
+                if end == i + 1:  # a character without a piece goes by its bytes
+                    reach(text, i, end, piece, np.where(piece >= 0, self.node_score[node], self.unknown))
+                else:
+                    whole = piece >= 0
+                    reach(text[whole], i, end, piece[whole], self.node_score[node[whole]])
+                on = found & (size[text] > end)
+                text, node = text[on], node[on]
+        self._sort_pairs()
+        return self._traced([texts[t] for t in texts_by_size], texts_by_size, size, bound_at, back, last)
+
+    def _traced(self, texts: list[str], place: list[int], size, bound_at, back, last) -> list[bytes]:
+        """Follow all backpointers together; ids of each text in the order of ``place``."""
+        text, end = np.arange(len(texts)), size
+        steps = []
+        while len(text):
+            piece, start = last[bound_at[text] + end], back[bound_at[text] + end]
+            steps.append((text, piece, start))
+            text, end = text[start > 0], start[start > 0]
+        owner, piece, start = (np.concatenate(x) for x in zip(*steps))
+        order = np.lexsort((start, owner))
+        owner, piece, start = owner[order], piece[order], start[order]
+        ends = np.searchsorted(owner, np.arange(len(texts) + 1)).tolist()
+        ids = piece.astype("<i4").tobytes()
+        by_bytes = set(owner[piece < 0].tolist())
+        out = [b""] * len(texts)
+        for t, (first, stop) in enumerate(zip(ends, ends[1:])):
+            if t in by_bytes:
+                found: list[int] = []
+                for p, at in zip(piece[first:stop].tolist(), start[first:stop].tolist()):
+                    found += [p] if p >= 0 else [self.byte_id[x] for x in texts[t][at].encode()]
+                out[place[t]] = array("i", found).tobytes()
+            else:
+                out[place[t]] = ids[4 * first : 4 * stop]
         return out
 
     def _stays(self, first: int, second: int) -> bool:
@@ -185,32 +262,59 @@ class Codec:
             out += [found[1]] if found else [self.byte_id[x] for x in text[a:b].encode()]
         return out
 
-    def encode(self, text: str) -> bytes:
-        """Ids as 32-bit numbers."""
-        if not text:
-            return b""
+    def encode_many(self, texts: list[str]) -> list[bytes]:
+        """Ids of whole texts as 32-bit numbers."""
+        cuts = [self.cut(" " + text) if text else [] for text in texts]
         remembered = self.remembered
         if len(remembered) > REMEMBERED:
             remembered.clear()
-        return b"".join(map(remembered.__getitem__, self.cut(" " + text)))
+        new = {word for words in cuts for word in words} - remembered.keys()
+        window = WINDOWS * self.longest
+        short = [word for word in new if len(word) <= window]
+        remembered.update(zip(short, self.search_many(short)))
+        long = {word: array("i", self.search(word)).tobytes() for word in new if len(word) > window}
+        if not long:
+            return [b"".join(map(remembered.__getitem__, words)) for words in cuts]
+        return [b"".join([remembered[w] if len(w) <= window else long[w] for w in words]) for words in cuts]
 
-    def decode(self, ids: list[int]) -> str:
-        n, content = len(self.content), self.content
-        text = b"".join([content[i] for i in ids if i is not None and 0 <= i < n]).decode("utf-8", "replace")
-        return text[1:] if text.startswith(" ") else text
-
-
-class _Remembered(dict):
-    def __init__(self, codec: Codec) -> None:
-        super().__init__()
-        self.codec = codec
+    def encode(self, text: str) -> bytes:
+        return self.encode_many([text])[0]
+
+    def content_of(self, ids: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Bytes of many texts' ids, without each text's blank at the front, and the texts' ends among them."""
+        known = (ids >= 0) & (ids < len(self.piece_size))
+        ids = np.where(known, ids, 0)
+        size = np.where(known, self.piece_size[ids], 0)
+        ends = np.concatenate([[0], np.cumsum(size)])
+        place = np.arange(ends[-1]) + np.repeat(self.piece_start[ids] - ends[:-1], size)
+        content, bounds = self.piece_bytes[place], ends[starts]
+        filled = bounds[:-1] < bounds[1:]
+        blank = np.zeros(len(content), bool)
+        blank[bounds[:-1][filled]] = content[bounds[:-1][filled]] == 32
+        dropped = np.concatenate([[0], np.cumsum(blank)])
+        return content[~blank], bounds - dropped[bounds]
+
+    def decode_many(self, column: pa.ListArray) -> pa.Array:
+        """Texts of a column of ids; null for null."""
+        ids, starts = column.values.fill_null(-1).to_numpy(zero_copy_only=False), column.offsets.to_numpy()
+        ids, starts = ids[starts[0] : starts[-1]], starts - starts[0]
+        content, bounds = self.content_of(ids, starts)
+        whole = content.tobytes()
+        inner = bounds[bounds < len(content)]
+        try:
+            whole.decode()
+            sound = not ((content[inner] & 0xC0) == 0x80).any()
+        except UnicodeDecodeError:
+            sound = False
+        if sound:
+            texts = pa.LargeStringArray.from_buffers(len(column), pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(whole)).cast(pa.string())
+        else:
+            texts = pa.array([whole[a:b].decode("utf-8", "replace") for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())], pa.string())
+        missing = column.is_null()
+        return pc.if_else(missing, pa.scalar(None, pa.string()), texts) if column.null_count else texts
 
-    def __missing__(self, text: str) -> bytes:
-        if len(text) > SHORT:
-            return array("i", self.codec.search(text)).tobytes()
-        search = self.codec.search_short if self.codec.merges else self.codec.search
-        found = self[text] = array("i", search(text)).tobytes()
-        return found
+    def decode(self, ids: list[int]) -> str:
+        return self.decode_many(pa.array([ids], pa.list_(pa.int32())))[0].as_py()
 
 
 def load(spark: SparkSession, path: str) -> Broadcast:
@@ -226,28 +330,34 @@ def _codec(content: bytes, merges: bool) -> Codec:
     return Codec(content, merges)
 
 
-def encode(docs: DataFrame, model: Broadcast, text: str = "text", ids: str = "ids", merges: bool = True) -> DataFrame:
-    """All columns with the array ``ids``. ``merges`` says that the model is one of merges."""
-    docs = docs.select(*[c for c in docs.columns if c != ids])
+def encode(
+    docs: DataFrame, model: Broadcast, text: str = "text", ids: str = "ids", merges: bool = True, decoded: str | None = None
+) -> DataFrame:
+    """All columns with the array ``ids``. ``merges`` says that the model is one of merges.
+
+    ``decoded`` names a further column with the text that ``decode`` makes of the ids, in the same pass.
+    """
+    docs = docs.select(*[c for c in docs.columns if c not in (ids, decoded)])
     place = docs.columns.index(text)
-    schema = T.StructType([*docs.schema.fields, T.StructField(ids, T.ArrayType(T.IntegerType(), False))])
+    added = [T.StructField(ids, T.ArrayType(T.IntegerType(), False))]
+    if decoded is not None:
+        added.append(T.StructField(decoded, T.StringType()))
+    schema = T.StructType([*docs.schema.fields, *added])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(model.value, merges)
         for batch in batches:
-            texts, first = batch.column(place), 0
-            while first < len(texts):
-                found, size, last = [], 0, first
-                while last < len(texts) and size < OUTPUT_BYTES:
-                    value = texts[last].as_py()
-                    found.append(None if value is None else codec.encode(value))
-                    size += len(found[-1] or b"")
-                    last += 1
-                ends = np.cumsum([0, *(len(x or b"") // 4 for x in found)], dtype=np.int32)
-                values = pa.array(np.frombuffer(b"".join(x or b"" for x in found), "<i4"))
-                column = pa.ListArray.from_arrays(pa.array(ends), values, mask=pa.array([x is None for x in found]))
-                yield pa.RecordBatch.from_arrays([*(c.slice(first, last - first) for c in batch.columns), column], schema.names)
-                first = last
+            column = batch.column(place)
+            for first, last, _, _ in utf8_parts(column, PART_BYTES):
+                texts = column.slice(first, last - first).to_pylist()
+                found = codec.encode_many([text or "" for text in texts])
+                ends = np.cumsum([0, *(len(x) // 4 for x in found)], dtype=np.int32)
+                missing = pa.array([text is None for text in texts])
+                ids_of = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(found), "<i4")), mask=missing)
+                columns = [*(c.slice(first, last - first) for c in batch.columns), ids_of]
+                if decoded is not None:
+                    columns.append(codec.decode_many(ids_of))
+                yield pa.RecordBatch.from_arrays(columns, schema.names)
         codec.remembered.clear()  # a worker that lives on should not hold what its tasks have met
 
     return docs.mapInArrow(run, schema)
@@ -262,9 +372,9 @@ def decode(encoded: DataFrame, model: Broadcast, ids: str = "ids", text: str = "
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(model.value, True)
         for batch in batches:
-            for first in range(0, batch.num_rows, 500):
-                part = batch.slice(first, 500)
-                found = [None if x is None else codec.decode(x) for x in part.column(place).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found, pa.string())], schema.names)
+            for first in range(0, batch.num_rows, ROWS):
+                part = batch.slice(first, ROWS)
+                column = part.column(place).cast(pa.list_(pa.int32()))
+                yield pa.RecordBatch.from_arrays([*part.columns, codec.decode_many(column)], schema.names)
 
     return encoded.mapInArrow(run, schema)

@@ -114,8 +114,8 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_register("op10_sentencepiece")
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = pieces.load(spark, PIECES)
-    encoded = pieces.encode(documents(spark, sf_dir).select("doc_id", "text"), model)
-    return pieces.decode(encoded, model).select(
+    encoded = pieces.encode(documents(spark, sf_dir).select("doc_id", "text"), model, decoded="decoded")
+    return encoded.select(
         "doc_id", "ids", F.size("ids").cast("long").alias("n_ids"),
         F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"),
     )

@@ -361,6 +361,35 @@ def test_pieces_of_a_table(spark, docs, empty):
     rows = pieces.decode(pieces.encode(docs, model), model).collect()
     assert all(r.decoded == r.text and (r.ids is None) == (r.text is None) for r in rows) and len(rows) == docs.count()
     assert pieces.encode(empty, model).count() == 0
+    at_once = pieces.encode(docs, model, decoded="decoded").collect()
+    assert sorted(map(repr, at_once)) == sorted(map(repr, rows))
+
+
+def test_searches_of_many_cuts_equal_those_of_one(content):
+    for merges in (True, False):
+        codec = pieces.Codec(content, merges)
+        texts = list({" " + "".join(R.choice("abcdetheing.é梦🙂") for _ in range(R.randint(1, 40))) for _ in range(400)})
+        found = [np.frombuffer(ids, "<i4").tolist() for ids in codec.search_many(texts)]
+        assert found == [codec.search(text) for text in texts]
+
+
+def test_every_cut_is_searched_by_windows(content, monkeypatch):
+    codec, seen = pieces.Codec(content), []
+    many, one = codec.search_many, codec.search
+    monkeypatch.setattr(codec, "search_many", lambda texts: (seen.extend(texts), many(texts))[1])
+    monkeypatch.setattr(codec, "search", lambda text: (seen.append(text), one(text))[1])
+    codec.encode("some words and " + "x" * 90 + " words")
+    assert sorted(seen) == sorted([" some", " words", " and", " " + "x" * 90])
+
+
+def test_ids_that_are_no_text(content):
+    codec = pieces.Codec(content)
+    bad = codec.byte_id[0xC3]
+    assert codec.decode([bad]) == "\ufffd" and codec.decode([-5, 10**6]) == ""
+    rows = codec.decode_many(pa.array([[bad], None, [], [codec.byte_id[0xA9]], [codec.byte_id[0xC3], codec.byte_id[0xA9]]], pa.list_(pa.int32())))
+    assert rows.to_pylist() == ["\ufffd", None, "", "\ufffd", "é"]
+    split = codec.decode_many(pa.array([[codec.byte_id[0xC3]], [codec.byte_id[0xA9]]], pa.list_(pa.int32())))
+    assert split.to_pylist() == ["\ufffd", "\ufffd"]
 
 
 # ---- URLs and secrets ------------------------------------------------------------------------
