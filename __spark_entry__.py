@@ -568,12 +568,24 @@ def _assign_chunks(spark, sf_dir):
     return chunks.assign_chunks(flows).select("flow_id", "chunk", "idx")
 
 
-@_register("pack_chunks", """select cast(chunk as varchar) as key, count(*) as n_rows,
+_PACKED = """select cast(chunk as varchar) as key, count(*) as n_rows,
     cast(min(flow_id) filter (where idx = 0) as varchar) as first_id,
-    max(Dport) filter (where idx = 3) as fourth_dport from chunked group by chunk""")
+    max(Dport) filter (where idx = 3) as fourth_dport from chunked group by chunk"""
+
+
+@_register("pack_chunks", _PACKED)
 def _pack_chunks(spark, sf_dir):
+    return _facts(_packed(spark, sf_dir))
+
+
+@_register("pack_flows", _PACKED)
+def _pack_flows(spark, sf_dir):
+    return _facts(chunks.pack_flows(_raw(spark, sf_dir)))
+
+
+def _facts(messages: DataFrame) -> DataFrame:
     part = lambda path: F.get_json_object("value", path)
-    return _packed(spark, sf_dir).select(
+    return messages.select(
         "key",
         F.size(F.map_keys(F.from_json(part("$.StartTime"), "map<string,string>"))).cast("long")
         .alias("n_rows"),

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from flowtide.functions.flow import null_if_nan, typed_text
 from flowtide.operators.encode import encoded_columns
+from flowtide.operators.numbering import RANGE, ranked
 from flowtide.schema import CHUNK_ROWS, ENCODED_COLUMNS, RAW_FLOW, chunk_schema
 from flowtide.session import store
 
@@ -55,17 +56,31 @@ def assign_chunks(
 ) -> DataFrame:
     """Add the chunk number and the index in the chunk for ``size`` consecutive rows each.
 
-    Rows are taken by start time, then by ``flow_id`` or, where there is none, by all columns.
+    Rows are taken by start time, then by ``flow_id`` or, where there is none, by a hash of all columns.
     """
-    if order is None:
-        ties = ["flow_id"] if "flow_id" in df.columns else df.columns
-        order = list(dict.fromkeys(["StartTime", *ties]))
     row = F.col("row")
-    return (
-        number_rows(df, order)
-        .withColumns({CHUNK: F.floor(row / size), IDX: (row % size).cast("int")})
-        .drop("row")
-    )
+    numbered = _in_time(df).drop(*RANGE) if order is None else number_rows(df, order)
+    return numbered.withColumns({CHUNK: F.floor(row / size), IDX: (row % size).cast("int")}).drop("row")
+
+
+def _in_time(df: DataFrame) -> DataFrame:
+    return ranked(df, "StartTime", "flow_id" if "flow_id" in df.columns else None)
+
+
+def pack_flows(df: DataFrame, size: int = CHUNK_ROWS) -> DataFrame:
+    """``pack_chunks`` of ``assign_chunks``, without moving the rows again once they are numbered.
+
+    Chunks are packed where their range has been numbered; only pieces of the chunks that straddle two ranges move.
+    """
+    fields = [f for f in df.schema if f.name not in (CHUNK, IDX)]
+    place = F.col("row")
+    row = F.struct((place % size).cast("int").alias(IDX), *[_json_cell(F.col(f.name), f).alias(f.name) for f in fields])
+    numbered = _in_time(df).select(*RANGE, F.floor(place / size).alias(CHUNK), row.alias("row"))
+    pieces = numbered.groupBy(*RANGE, CHUNK).agg(F.array_sort(F.collect_list("row")).alias("rows"))
+    whole = F.size("rows") == size
+    straddling = pieces.where(~whole).groupBy(CHUNK).agg(F.array_sort(F.flatten(F.collect_list("rows"))).alias("rows"))
+    packed = pieces.where(whole).select(CHUNK, "rows").unionByName(straddling)
+    return _as_messages(packed.withColumn("key", F.col(CHUNK).cast("string")), [f.name for f in fields], size)
 
 
 def _json_cell(value: Column, field: T.StructField) -> Column:

@@ -6,7 +6,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from flowtide.operators import chunks
+from flowtide.operators import chunks, numbering
 from flowtide.operators.encode import preprocess_flows
 from flowtide.schema import ENCODED_FLOW, MESSAGE, RAW_FLOW
 from tests.helpers import NOON, RAW_WITH_ID, plan, raw_flows, rows
@@ -138,3 +138,54 @@ def test_first_per_chunk(spark):
 
 def test_layouts_match():
     assert [f.name for f in RAW_WITH_ID][1:] == [f.name for f in RAW_FLOW]
+
+
+def crowded(spark, with_id=True, count=6000):
+    """A third of the rows share one time; without ids they are equal rows as well."""
+    shared = F.col("id") % 3 == 0
+    second = F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, 0, 0, (id * 7919) % 997)")
+    time = F.when(shared, F.lit("2024-01-01 00:05:00").cast("timestamp_ntz")).when(F.col("id") % 101 != 0, second)
+    number = F.col("id") if with_id else F.when(shared, 0).otherwise(F.col("id"))
+    return spark.range(count).select(time.alias("StartTime"), number.alias("flow_id" if with_id else "n")).repartition(5)
+
+
+@pytest.mark.parametrize("with_id", [True, False])
+def test_a_time_that_a_third_shares_is_ranked_by_many_tasks(spark, with_id):
+    df = crowded(spark, with_id)
+    found = numbering.ranked(df, "StartTime", "flow_id" if with_id else None)
+    rows_ = found.orderBy("row").collect()
+    assert [r.row for r in rows_] == list(range(6000))
+    in_order = sorted(map(tuple, df.collect()), key=lambda r: (r[0] is not None, r[0] or NOON, r[1]))
+    if with_id:
+        assert [(r[0], r[1]) for r in rows_] == in_order
+    else:
+        assert [r[0] for r in rows_] == [t for t, _ in in_order]
+        assert sorted(((r[0], r[1]) for r in rows_), key=repr) == sorted(in_order, key=repr)
+    sizes = [r["count"] for r in found.groupBy(*numbering.RANGE).count().collect()]
+    assert max(sizes) < 6000 / 3 and len(sizes) >= 4
+
+
+def test_numbering_shuffles_the_rows_once(spark):
+    text = plan(numbering.ranked(many(spark, 50), "StartTime", "flow_id")).split("Physical Plan")[1]
+    moved = [line for line in text.splitlines() if "hashpartitioning(_range" in line]
+    assert len(moved) == 2 and text.count("Exchange") <= 5  # the rows, and counts by range
+
+
+@pytest.mark.parametrize("with_id", [True, False])
+def test_packing_flows_where_they_are_numbered(spark, with_id):
+    df = crowded(spark, with_id)
+    packed = chunks.pack_flows(df)
+    by_chunk = chunks.pack_chunks(chunks.assign_chunks(df))
+    if with_id:
+        assert rows(packed) == rows(by_chunk)
+    else:
+        assert {len(json.loads(m.value)["n"]) for m in packed.collect()} == {10}
+    assert sorted(int(m.key) for m in packed.collect()) == list(range(600))
+    moved = plan(packed).split("Physical Plan")[1]
+    assert any("Filter NOT (size(rows" in line for line in moved.splitlines())  # only these go through another exchange
+
+
+def test_small_and_empty_tables_are_packed(spark):
+    assert chunks.pack_flows(crowded(spark, count=1)).count() == 1
+    assert chunks.pack_flows(crowded(spark).where("false")).count() == 0
+    assert chunks.assign_chunks(crowded(spark).where("false")).count() == 0
