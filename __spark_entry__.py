@@ -460,11 +460,8 @@ def _category_metric(spark, sf_dir):
     (select quantile_disc(TotBytes, 0.5) from flows) as totbytes""")
 def _column_median(spark, sf_dir):
     flows = read_flows(spark, sf_dir)
-    medians = [
-        F.lit(quantiles.column_median(flows, c)).cast(flows.schema[c].dataType).alias(c.lower())
-        for c in ("sTos", "Dur", "TotBytes")
-    ]
-    return spark.range(1).select(*medians)
+    medians = quantiles.column_medians(flows, ["sTos", "Dur", "TotBytes"])
+    return spark.range(1).select(*[F.lit(v).cast(flows.schema[c].dataType).alias(c.lower()) for c, v in medians.items()])
 
 
 _INFINITE = "case when flow_id % 50 = 0 then cast('Infinity' as double) else Dur end"
@@ -824,6 +821,13 @@ def _batch_median_fill(spark, sf_dir):
     return chunks.decode_row_json(messages, ENCODED_WITH_ID)
 
 
+@_register("batch_median_fill_chunks",
+           f"select flow_id, {_columns(ENCODED_COLUMNS, Sport=_SENT)} from flows")
+def _batch_median_fill_chunks(spark, sf_dir):
+    messages = _preprocessed(spark, sf_dir, jobs.BATCH_MEDIAN, encoded_as=jobs.CHUNKS)
+    return jobs.decode_encoded(messages, jobs.CHUNKS, ENCODED_WITH_ID)
+
+
 @_register("message_median_fill", f"""select flow_id, sTos, cast(sTos = 1.0 as int) as sTosone
     from (select c.flow_id, coalesce(c.sTos, m.fill, 0.0) as sTos from chunked c join (
     select chunk, quantile_disc(sTos, 0.5) as fill from chunked group by chunk) m

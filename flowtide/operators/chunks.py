@@ -195,6 +195,14 @@ def unpack_chunks(
     return rows.select(*keep, F.col(IDX).cast("int").alias(IDX), *extra, *cells)
 
 
+def stos_of_chunks(messages: DataFrame) -> DataFrame:
+    """The service byte of each row of chunk messages, as the only column ``sTos``; nothing else is read from them."""
+    needed = T.StructType([f for f in chunk_schema(RAW_FLOW) if f.name in ("StartTime", "sTos")])
+    decoded = messages.select(F.from_json("value", needed).alias("m"))
+    cells = F.transform(_indices(), lambda i: F.try_element_at(F.col("m")["sTos"], i))
+    return decoded.select(F.explode(cells).alias("sTos"))
+
+
 def preprocess_chunks(
     messages: DataFrame,
     stos_fill: float | None,

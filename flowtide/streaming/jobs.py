@@ -19,7 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 from flowtide.operators.aggregates import accuracy
 from flowtide.operators.chunks import (
     IDX, broken_chunks, broken_rows, decode_row_json, encode_row_json, first_per_chunk,
-    preprocess_chunks, unpack_chunks,
+    preprocess_chunks, stos_of_chunks, unpack_chunks,
 )
 from flowtide.operators.encode import fit_stos_fill, preprocess_flows
 from flowtide.operators.learning import score_flows
@@ -83,8 +83,13 @@ def run_preprocess_stream(
     over it; the other fills take none.
     """
     if stos_fill == BATCH_MEDIAN:
-        if encoded_as == CHUNKS:
-            raise ValueError("batch_median makes row messages only")
+        def write_chunks(batch: DataFrame, batch_id: int) -> None:
+            batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+            try:
+                fill = fit_stos_fill(stos_of_chunks(batch), 0.0)
+                _write_batch(preprocess_chunks(batch, fill, layout, keep), batch_id, sink, options)
+            finally:
+                batch.unpersist()
 
         def write(batch: DataFrame, batch_id: int) -> None:
             rows = unpack_chunks(batch, layout).persist(StorageLevel.MEMORY_AND_DISK)
@@ -94,7 +99,7 @@ def run_preprocess_stream(
             finally:
                 rows.unpersist()
 
-        return _by_batch(messages, write, checkpoint, trigger, name)
+        return _by_batch(messages, write_chunks if encoded_as == CHUNKS else write, checkpoint, trigger, name)
     if encoded_as == CHUNKS:
         fill = None if stos_fill == MESSAGE_MEDIAN else stos_fill
         encoded = preprocess_chunks(messages, fill, layout, keep)

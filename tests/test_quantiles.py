@@ -6,7 +6,8 @@ import random
 import pytest
 
 from flowtide.operators.histograms import value_histogram
-from flowtide.operators.quantiles import column_median, exact_quantile
+from flowtide.operators import quantiles
+from flowtide.operators.quantiles import column_median, exact_quantile, exact_quantiles
 from tests.helpers import jobs_of
 
 
@@ -71,3 +72,45 @@ def test_infinities_are_end_values(spark):
     assert sum(b.n for b in bins) == 1000
     assert (min(b.bin_start for b in bins), max(b.bin_end for b in bins)) == (1.0, 1000.0)
     assert value_histogram(frame(spark, [math.inf]), "x", 10).count() == 0
+
+
+SHAPES = {
+    "spread": [random.Random(1).uniform(-5, 5) for _ in range(3000)],
+    "hot": [5.0] * 1000 + [random.Random(2).uniform(0, 10) for _ in range(2000)],
+    "tiny": [3.0, 1.0, 2.0, 4.0, None, math.nan],
+    "outliers": [-1e300, 1e300] + [1 + i * 2.0**-52 for i in range(50)],
+    "widest": [-1.7e308, 1.7e308, 0.0, 5e-324, -5e-324],
+    "infinite": [math.inf, -math.inf, math.inf, 1.0, 2.0],
+    "only_infinite": [math.inf, -math.inf],
+    "none": [None, math.nan],
+    "negative_zero": [-0.0, 0.0, 0.0, -1.0],
+}
+
+
+@pytest.mark.parametrize("counted", [1 << 20, 4])  # by values, and by bins first
+@pytest.mark.parametrize("p", [0.0, 0.5, 0.93, 1.0])
+def test_several_columns_at_once(spark, monkeypatch, p, counted):
+    monkeypatch.setattr(quantiles, "COUNTED", counted)
+    monkeypatch.setattr(quantiles, "BINS", 16)
+    longest = max(map(len, SHAPES.values()))
+    whole = {"big": [2**63 - 1, -(2**63), 2**63 - 2, 2**63 - 3, 7], "near": [2**53 + i for i in range(9)]}
+    columns = {**SHAPES, **whole}
+    table = [tuple((v[i] if i < len(v) else None) for v in columns.values()) for i in range(longest)]
+    layout = ", ".join(f"{c} {'bigint' if c in whole else 'double'}" for c in columns)
+    df = spark.createDataFrame(table, layout).repartition(3)
+    known = {c: [x for x in v if x is not None and x == x] for c, v in columns.items()}
+    assert exact_quantiles(df, list(columns), p) == {c: low(v, p) if v else None for c, v in known.items()}
+
+
+def test_three_columns_take_two_passes(spark):
+    df = spark.range(5000).selectExpr("cast(id as double) as a", "id * 3 as b", "cast(id % 2 as double) as c").repartition(3)
+    df.count()
+    got = {}
+    assert jobs_of(spark, lambda: got.update(quantiles.column_medians(df, ["a", "b", "c"]))) <= 7  # jobs of two passes, by stage
+    assert got == {"a": 2499.0, "b": 7497, "c": 0.0}
+
+
+def test_a_sketch_that_is_off_is_made_good(spark, monkeypatch):
+    monkeypatch.setattr(quantiles, "RANK_ERROR", -0.02)  # an interval beside the wanted rank
+    df = spark.range(1000).selectExpr("cast(id as double) as a")
+    assert exact_quantiles(df, ["a"], 0.5) == {"a": 499.0}

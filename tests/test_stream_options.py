@@ -15,8 +15,6 @@ from tests.helpers import rows
 def test_options_that_do_not_fit():
     with pytest.raises(ValueError, match="first_only"):
         jobs.decode_encoded(None, jobs.ROWS, first_only=True)
-    with pytest.raises(ValueError, match="row messages"):
-        jobs.run_preprocess_stream(None, jobs.BATCH_MEDIAN, "json", {}, "", encoded_as=jobs.CHUNKS)
     with pytest.raises(ValueError, match="fused"):
         jobs.run_fused_stream(None, jobs.BATCH_MEDIAN, None, "", "")
 

@@ -66,10 +66,17 @@ def test_a_second_run_takes_only_new_messages(spark, folders):
     assert rows(jobs.decode_encoded(messages)) == rows(preprocess_flows(flows_of(spark), 1.0))
 
 
-def test_batch_median_fill(spark, folders):
+@pytest.mark.parametrize("encoded_as", [jobs.ROWS, jobs.CHUNKS])
+def test_batch_median_fill(spark, folders, encoded_as):
     send(flows_of(spark), folders("logs"))
-    messages = run_preprocess(spark, folders, jobs.BATCH_MEDIAN)
-    assert rows(jobs.decode_encoded(messages)) == rows(preprocess_flows(flows_of(spark), 1.0))
+    messages = run_preprocess(spark, folders, jobs.BATCH_MEDIAN, encoded_as=encoded_as)
+    assert rows(jobs.decode_encoded(messages, encoded_as)) == rows(preprocess_flows(flows_of(spark), 1.0))
+
+
+def test_batch_median_of_chunks_without_values(spark, folders):
+    send(flows_of(spark, 10).withColumn("sTos", F.lit(None).cast("double")), folders("logs"))
+    messages = run_preprocess(spark, folders, jobs.BATCH_MEDIAN, encoded_as=jobs.CHUNKS)
+    assert {r.sTos for r in jobs.decode_encoded(messages, jobs.CHUNKS).collect()} == {0.0}
 
 
 def test_message_median_falls_back_where_a_message_has_no_value(spark, folders):
