@@ -642,6 +642,57 @@ def _read_raw_flows(spark, sf_dir):
     return files.read_raw_flows(spark, path, RAW_WITH_ID)
 
 
+# Cells that a log may hold by mistake: durations that are no numbers, counts with a unit, times that are none.
+_SPOILT = {
+    "Dur": "flow_id % 11 = 0 and Dur is not null", "TotPkts": "flow_id % 13 = 0 and TotPkts is not null",
+    "StartTime": "flow_id % 17 = 0",
+}
+_IN_QUARANTINE = " union all ".join(f"select '{c}' as bad, flow_id from flows where {w}" for c, w in _SPOILT.items())
+
+
+def _spoilt(spark, sf_dir) -> DataFrame:
+    """Raw flows as text with those cells spoilt."""
+    raw = _raw(spark, sf_dir)
+    return raw.select(*[
+        F.when(F.expr(_SPOILT[c]), F.lit("x!")).otherwise(F.col(c).cast("string")).alias(c) if c in _SPOILT else F.col(c)
+        for c in raw.columns
+    ])
+
+
+@_register("quarantined_cells", f"""select bad as "column", 'x!' as cell, count(*) as n, sum(flow_id) as ids,
+    true as adds_up from ({_IN_QUARANTINE}) group by 1""")
+def _quarantined_cells(spark, sf_dir):
+    """Spoilt cells of logs by column; accepted, missing and quarantined cells make up all that were written."""
+    path = scratch_path(spark, "spoilt-csv")
+    files.write_flows(_spoilt(spark, sf_dir), path)
+    bad = files.read_quarantined(spark, path, RAW_WITH_ID)
+    ids = F.from_csv("row_text", F.lit("flow_id long")).getField("flow_id")
+    kinds = bad.groupBy("column", "cell").agg(F.count("*").alias("n"), F.sum(ids).alias("ids"))
+    counts = lambda df: df.agg(*[F.count(c).alias(c) for c in _SPOILT])
+    both = counts(_raw(spark, sf_dir).select(*_SPOILT)).unpivot([], list(_SPOILT), "of", "written").join(
+        counts(files.read_raw_flows(spark, path, RAW_WITH_ID)).unpivot([], list(_SPOILT), "of", "accepted"), "of"
+    )
+    return kinds.join(both, F.col("column") == F.col("of")).select(
+        "column", "cell", "n", "ids", (F.col("accepted") + F.col("n") == F.col("written")).alias("adds_up")
+    )
+
+
+@_register("quarantined_chunk_cells", f"""select cast(chunk as varchar) as key, idx, bad as "column", 'x!' as cell
+    from ({_IN_QUARANTINE}) join chunked using (flow_id)""")
+def _quarantined_chunk_cells(spark, sf_dir):
+    """The same of chunk messages, by a stream that runs beside the stage."""
+    raw = _raw(spark, sf_dir)
+    spoilt = _spoilt(spark, sf_dir).select("flow_id", *[F.col(c).alias(f"{c}_") for c in _SPOILT])
+    numbered = chunks.assign_chunks(raw).join(spoilt, "flow_id")
+    sent = chunks.pack_chunks(numbered.select(*[F.col(f"{c}_").alias(c) if c in _SPOILT else c for c in [*raw.columns, chunks.CHUNK, chunks.IDX]]))
+    out = scratch_path(spark, "quarantine")
+    jobs.run_quarantine_stream(
+        _message_stream(spark, sent), "parquet", {"path": out}, scratch_path(spark, "checkpoint"), layout=RAW_WITH_ID
+    ).awaitTermination()
+    cells = F.from_json("value", "key string, idx int, column string, cell string")
+    return spark.read.parquet(out).select(cells.alias("c")).select("c.*")
+
+
 @_register("read_training_flows",
            f"select flow_id, {_columns(TRAINING_COLUMNS, Sport=_SENT)} from flows")
 def _read_training_flows(spark, sf_dir):
@@ -916,6 +967,30 @@ def _batch_accuracy(spark, sf_dir):
     return _rounded(spark.read.parquet(out), "accuracy")
 
 
+@_register("observed_batches", f"""select 0 as batch_id, count(*) as messages, count(*) filter (flow_id % 7 = 0) as broken,
+    count(*) filter (flow_id % 7 <> 0 and flow_id % 5 = 0) as unfit_cells,
+    count(c) filter (flow_id % 7 <> 0) as n, round(avg(c) filter (flow_id % 7 <> 0), 6) as accuracy
+    from (select *, cast(prediction = try_cast({_LABEL} as int) as double) as c from flows)""")
+def _observed_batches(spark, sf_dir):
+    """Some messages are cut off, some have a cell that is no number; the scoring pass itself reports all figures."""
+    encoded = _preprocess_flows(spark, sf_dir).withColumn(
+        "dTos", F.when(F.col("flow_id") % 5 == 0, F.lit("x!")).otherwise(F.col("dTos").cast("string"))
+    )
+    sent = chunks.encode_row_json(encoded, key="flow_id")
+    cut = F.when(F.col("key").cast("long") % 7 == 0, F.substring("value", 1, 20)).otherwise(F.col("value"))
+    out = scratch_path(spark, "labelled")
+    query = jobs.run_score_stream(
+        _message_stream(spark, sent.withColumn("value", cut)), _rule_model(), "parquet", {"path": out},
+        scratch_path(spark, "checkpoint"), layout=ENCODED_WITH_ID, observe=True,
+    )
+    query.awaitTermination()
+    found = spark.createDataFrame(
+        [(m["batch_id"], m["messages"], m["broken"], m["unfit_cells"], m["n"], m["accuracy"]) for m in jobs.batch_metrics(query)],
+        "batch_id int, messages long, broken long, unfit_cells long, n long, accuracy double",
+    )
+    return _rounded(found, "accuracy")
+
+
 @_register("live_flow_counts", """select time_bucket(interval '6 hours', StartTime) as window_start, Proto,
     prediction, count(*) as n from flows group by 1, 2, 3""")
 def _live_flow_counts(spark, sf_dir):

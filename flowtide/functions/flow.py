@@ -38,6 +38,12 @@ def typed_text(text: Column, data_type: T.DataType) -> Column:
     return null_if_nan(number) if isinstance(data_type, T.DoubleType) else number
 
 
+def is_unfit(text: Column, data_type: T.DataType) -> Column:
+    """Whether a text says something that its declared type can't hold; missing, blank and NaN cells say nothing."""
+    said = text.isNotNull() & (F.trim(text) != "") & ~F.lower(F.trim(text)).isin("nan", '"nan"')
+    return said & typed_text(text, data_type).isNull()
+
+
 def micros(time: Column) -> Column:
     """Microseconds of a wall-clock time since 1970, whatever the session's zone."""
     time = time.cast("timestamp_ntz")

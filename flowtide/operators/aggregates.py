@@ -104,6 +104,11 @@ def accuracy(df: DataFrame) -> DataFrame:
     return df.agg(F.count(_correct()).alias("n"), F.avg(_correct()).alias("accuracy"))
 
 
+def observe_accuracy(df: DataFrame, name: str) -> DataFrame:
+    """``df`` with metrics of its own pass: flows with one of the three labels, and the right predictions among them."""
+    return df.observe(name, F.count(_correct()).alias("n"), F.coalesce(F.sum(_correct()), F.lit(0.0)).alias("right"))
+
+
 def confusion_counts(df: DataFrame) -> DataFrame:
     label = F.col("Label").try_cast("int").alias("Label")
     return df.groupBy(label, "prediction").agg(F.count("*").alias("n"))

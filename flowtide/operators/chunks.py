@@ -5,13 +5,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowtide.functions.flow import null_if_nan, typed_text
+from flowtide.functions.flow import is_unfit, null_if_nan, typed_text
 from flowtide.operators.encode import encoded_columns
 from flowtide.operators.numbering import RANGE, ranked
 from flowtide.schema import CHUNK_ROWS, ENCODED_COLUMNS, RAW_FLOW, chunk_schema
@@ -169,6 +169,27 @@ def _cell(field: T.StructField, index: Column) -> Column:
     return F.try_element_at(F.col("m")[field.name], index)
 
 
+def unfit_cells(text_of: Callable[[str], Column], layout: T.StructType) -> Column:
+    """The cells of a row that their type can't hold, as an array of (column, cell)."""
+    cells = F.array(*[
+        F.struct(F.lit(f.name).alias("column"), F.when(is_unfit(text_of(f.name), f.dataType), text_of(f.name)).alias("cell"))
+        for f in layout
+    ])
+    return F.filter(cells, lambda c: c["cell"].isNotNull())
+
+
+def quarantined_chunks(
+    messages: DataFrame, layout: T.StructType = RAW_FLOW, keep: Sequence[str] = ("key",)
+) -> DataFrame:
+    """The cells of chunk messages that ``unpack_chunks`` has null for, as their type can't hold them: index, column, cell."""
+    texts = F.transform(_indices(), lambda i: F.struct(i.cast("int").alias(IDX), *[_cell(f, i).alias(f.name) for f in layout]))
+    found = F.transform(
+        texts, lambda r: F.struct(r[IDX].alias(IDX), unfit_cells(lambda name: r[name], layout).alias("cells"))
+    )
+    rows = _decoded(messages, layout, keep).select(*keep, F.inline(F.filter(found, lambda r: F.size(r["cells"]) > 0)))
+    return rows.select(*keep, IDX, F.inline("cells"))
+
+
 def unpack_chunks(
     messages: DataFrame,
     layout: T.StructType = RAW_FLOW,
@@ -252,13 +273,22 @@ def encode_row_json(df: DataFrame, key: str | None = None) -> DataFrame:
     )
 
 
-def decode_row_json(messages: DataFrame, layout: T.StructType) -> DataFrame:
-    """Row messages to typed rows. Broken messages give none; ``broken_rows`` finds them."""
+def decode_row_json(messages: DataFrame, layout: T.StructType, observe: str | None = None) -> DataFrame:
+    """Row messages to typed rows. Broken messages give none; ``broken_rows`` finds them.
+
+    ``observe`` names metrics of the same pass: messages, broken ones, and cells that their type can't hold.
+    """
     texts = T.StructType([T.StructField(f.name, T.StringType()) for f in layout])
     marked = T.StructType([*texts, T.StructField(_BROKEN, T.StringType())])
-    read = F.from_json("value", marked, {"columnNameOfCorruptRecord": _BROKEN})
-    rows = messages.select(read.alias("r")).where(F.col("r").isNotNull() & F.col("r")[_BROKEN].isNull())
-    return rows.select(*[typed_text(F.col("r")[f.name], f.dataType).alias(f.name) for f in layout])
+    read = messages.select(F.from_json("value", marked, {"columnNameOfCorruptRecord": _BROKEN}).alias("r"))
+    good = F.col("r").isNotNull() & F.col("r")[_BROKEN].isNull()
+    if observe is not None:
+        unfit = F.size(unfit_cells(lambda name: F.col("r")[name], layout))
+        read = read.observe(
+            observe, F.count(F.lit(1)).alias("messages"), F.count_if(~good).alias("broken"),
+            F.coalesce(F.sum(F.when(good, unfit)), F.lit(0)).alias("unfit_cells"),
+        )
+    return read.where(good).select(*[typed_text(F.col("r")[f.name], f.dataType).alias(f.name) for f in layout])
 
 
 def first_per_chunk(df: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowtide.functions.flow import typed_text
+from flowtide.operators.chunks import unfit_cells
 from flowtide.operators.aggregates import dashboard_metrics
 from flowtide.operators.encode import to_table_row
 from flowtide.operators.select import latest_flows
@@ -27,10 +28,28 @@ def read_raw_flows(
     ``encoding`` is the files' character set. Declared types are applied here, because times and ports come in several notations within one
     log; nothing is inferred from the values.
     """
-    texts = spark.read.option("header", True).option("enforceSchema", False).option("encoding", encoding).csv(path)
+    texts = _texts(spark, path, encoding)
     return texts.select(*[typed_text(F.col(f.name), f.dataType).alias(f.name) for f in layout])
 
 
+def _texts(spark: SparkSession, path: str, encoding: str) -> DataFrame:
+    return spark.read.option("header", True).option("enforceSchema", False).option("encoding", encoding).csv(path)
+
+
+def read_quarantined(
+    spark: SparkSession, path: str, layout: T.StructType = RAW_FLOW, encoding: str = "UTF-8"
+) -> DataFrame:
+    """The cells of raw flow logs that their declared type can't hold: file, whole row as text, column and cell.
+
+    ``read_raw_flows`` has null in their place; missing and blank cells and NaN are none of them.
+    """
+    texts = _texts(spark, path, encoding)
+    # Rows come with the layout's columns in its order, whatever their order in the file.
+    row = F.to_csv(F.struct(*[F.col(f.name) for f in layout])).alias("row_text")
+    found = texts.select(F.col("_metadata.file_path").alias("file"), row, unfit_cells(F.col, layout).alias("cells"))
+    return found.select("file", "row_text", F.inline("cells"))
+
+
 def read_training_flows(
     spark: SparkSession, path: str, layout: T.StructType = TRAINING_FLOW
 ) -> DataFrame:

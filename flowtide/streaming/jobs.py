@@ -8,18 +8,18 @@ run has a checkpoint of its own, and file sinks and the table hold each batch ex
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark import StorageLevel
 from pyspark.ml import Transformer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
-from flowtide.operators.aggregates import accuracy
+from flowtide.operators.aggregates import accuracy, observe_accuracy
 from flowtide.operators.chunks import (
     IDX, broken_chunks, broken_rows, decode_row_json, encode_row_json, first_per_chunk,
-    preprocess_chunks, stos_of_chunks, unpack_chunks,
+    preprocess_chunks, quarantined_chunks, stos_of_chunks, unpack_chunks,
 )
 from flowtide.operators.encode import fit_stos_fill, preprocess_flows
 from flowtide.operators.learning import score_flows
@@ -35,6 +35,9 @@ MESSAGE_MEDIAN, BATCH_MEDIAN = "message_median", "batch_median"
 # Encoded flows travel one per message or as chunks.
 ROWS, CHUNKS = "rows", "chunks"
 
+# Names of observed metrics.
+MESSAGES, ACCURACY = "messages", "accuracy"
+
 
 def preprocess_messages(
     messages: DataFrame, stos_fill: float | str, layout=RAW_FLOW, keep=()
@@ -138,14 +141,75 @@ def run_score_stream(
     layout=ENCODED_FLOW,
     first_only: bool = False,
     name: str | None = None,
+    observe: bool = False,
 ) -> StreamingQuery:
-    """Encoded messages to labelled row messages, one per flow. The model is loaded once, outside."""
-    labelled = score_flows(decode_encoded(messages, encoded_as, layout, first_only), model)
+    """Encoded messages to labelled row messages, one per flow. The model is loaded once, outside.
+
+    With ``observe`` each micro-batch of row messages reports its accuracy, broken messages and unreadable cells in the
+    pass that scores; ``batch_metrics`` and ``MetricsListener`` read them.
+    """
+    if observe and encoded_as != ROWS:
+        raise ValueError("observe needs row messages")
+    if observe:
+        labelled = observe_accuracy(score_flows(decode_row_json(messages, layout, MESSAGES), model), ACCURACY)
+    else:
+        labelled = score_flows(decode_encoded(messages, encoded_as, layout, first_only), model)
     return stream_sink_topic(
         encode_row_json(labelled), sink, options, checkpoint, trigger, name
     ).start()
 
 
+def _metrics_of(batch_id: int, observed: Mapping[str, Row]) -> dict | None:
+    if MESSAGES not in observed or ACCURACY not in observed:
+        return None
+    said, rated = observed[MESSAGES], observed[ACCURACY]
+    return {
+        "batch_id": batch_id, "messages": said.messages, "broken": said.broken, "unfit_cells": said.unfit_cells,
+        "n": rated.n, "accuracy": rated.right / rated.n if rated.n else None,
+    }
+
+
+def batch_metrics(query: StreamingQuery) -> list[dict]:
+    """What the micro-batches that a query still remembers have reported."""
+    found = [_metrics_of(p.batchId, p.observedMetrics) for p in query.recentProgress]
+    return [m for m in found if m is not None]
+
+
+class MetricsListener(StreamingQueryListener):
+    """Passes on each micro-batch's metrics as it ends: a dictionary to ``report``. Add it to ``spark.streams``."""
+
+    def __init__(self, report: Callable[[dict], None]) -> None:
+        self.report = report
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        found = _metrics_of(event.progress.batchId, event.progress.observedMetrics)
+        if found is not None:
+            self.report(found)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
+def run_quarantine_stream(
+    messages: DataFrame,
+    sink: str,
+    options: Mapping[str, str],
+    checkpoint: str,
+    trigger: Mapping[str, object] = AVAILABLE_NOW,
+    layout=RAW_FLOW,
+    name: str | None = None,
+) -> StreamingQuery:
+    """The cells of chunk messages that a stage on the same source reads as null, as row messages. Run it beside the stage."""
+    cells = encode_row_json(quarantined_chunks(messages, layout), key="key")
+    return stream_sink_topic(cells, sink, options, checkpoint, trigger, name).start()
+
+
 def run_reject_stream(
     messages: DataFrame,
     sink: str,

@@ -31,6 +31,20 @@ def test_raw_log_with_other_column_order_and_notations(spark, tmp_path):
     assert second.TotBytes == 1585303458
 
 
+def test_cells_that_do_not_fit_are_quarantined(spark, tmp_path):
+    path = tmp_path / "log.csv"
+    path.write_text(
+        "Proto,StartTime,Dur,SrcAddr,Sport,Dir,DstAddr,Dport,State,sTos,dTos,TotPkts,TotBytes,"
+        "SrcBytes,Label\n"
+        "tcp,noon,1.5,10.0.0.1,52475,   ->,10.0.0.2,80,SR_SA,NaN,nan,3.0,12 kB,60,a\n"
+        "arp,2011-08-12 15:25:57,,00:15:17:2c:e5:2d,,  who,10.0.0.3,0x0105,CON,NaN,,1, ,60,\n"
+    )
+    bad = files.read_quarantined(spark, str(path))
+    assert sorted((r.column, r.cell) for r in bad.collect()) == [("StartTime", "noon"), ("TotBytes", "12 kB")]
+    row = bad.first()
+    assert row.file.endswith("log.csv") and row.row_text.startswith("noon,1.5,tcp,10.0.0.1")
+
+
 def test_files_with_unlike_headers_are_refused(spark, tmp_path):
     encoded = preprocess_flows(raw_flows(spark, {}), 0.0, layout="training")
     files.write_flows(encoded, str(tmp_path / "in" / "a"))

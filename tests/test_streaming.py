@@ -186,3 +186,29 @@ def test_stateless_stage_holds_no_state(spark, folders):
     )
     query.awaitTermination()
     assert all(not p["stateOperators"] for p in query.recentProgress)
+
+
+def test_scoring_reports_each_batch(spark, folders, rule):
+    encoded = preprocess_flows(flows_of(spark, 20), 1.0).withColumn("dTos", F.lit("7 bits"))
+    sent = chunks.encode_row_json(encoded)
+    sent.unionByName(spark.createDataFrame([(None, "{"), (None, None)], MESSAGE)).coalesce(1).write.parquet(folders("encoded"))
+    reported = []
+    listener = jobs.MetricsListener(reported.append)
+    spark.streams.addListener(listener)
+    try:
+        query = jobs.run_score_stream(
+            stream_flows(spark, "parquet", {}, folders("encoded")), rule, "parquet",
+            {"path": folders("labelled")}, folders("c1"), observe=True,
+        )
+        query.awaitTermination()
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(10_000)
+    finally:
+        spark.streams.removeListener(listener)
+    known = [(i % 3, 1 if i % 2 == 0 else 0) for i in range(20) if i % 3 < 2]
+    wanted = {"batch_id": 0, "messages": 22, "broken": 2, "unfit_cells": 20, "n": len(known),
+              "accuracy": sum(a == b for a, b in known) / len(known)}
+    assert jobs.batch_metrics(query) == [wanted]
+    assert reported in ([wanted], [])  # the listener is told on its own time
+    assert spark.read.parquet(folders("labelled")).count() == 20
+    with pytest.raises(ValueError, match="row messages"):
+        jobs.run_score_stream(None, rule, "json", {}, "", encoded_as=jobs.CHUNKS, observe=True)
