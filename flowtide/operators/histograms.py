@@ -17,15 +17,15 @@ def _range(df: DataFrame, value):
     return bounds["lo"], bounds["hi"]
 
 
-def value_histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
+def value_histogram(df: DataFrame, column: str, bins: int, bounds: tuple | None = None) -> DataFrame:
     """Counts in ``bins`` equal widths; the last bin is closed, empty bins are left out.
 
     When all values are equal they fall in bin 0. Null, NaN and both infinities, which lie in no bin
-    of finite width, are not counted.
+    of finite width, are not counted. ``bounds``, the least and greatest value, spare the pass that finds them.
     """
     number = F.col(column).cast("double")
     value = F.when(F.abs(number) < float("inf"), number)  # NaN is greater than all numbers
-    lo, hi = _range(df, value)
+    lo, hi = _range(df, value) if bounds is None else (F.lit(b).cast("double") for b in bounds)
     width = (hi - lo) / F.lit(float(bins))
     place = F.when(width == 0, 0).otherwise(
         F.least(F.floor((value - lo) / width), F.lit(bins - 1))
@@ -43,8 +43,8 @@ def value_histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
     )
 
 
-def duration_histogram(df: DataFrame, bins: int = 100) -> DataFrame:
-    return value_histogram(df, "Dur", bins)
+def duration_histogram(df: DataFrame, bins: int = 100, bounds: tuple | None = None) -> DataFrame:
+    return value_histogram(df, "Dur", bins, bounds)
 
 
 def duration_rug(df: DataFrame) -> DataFrame:
@@ -52,16 +52,19 @@ def duration_rug(df: DataFrame) -> DataFrame:
     return df.select("Dur").where("Dur is not null")
 
 
-def totpkts_histogram(df: DataFrame, bins: int = 20) -> DataFrame:
+def totpkts_histogram(df: DataFrame, bins: int = 20, bounds: tuple | None = None) -> DataFrame:
     if not 20 <= bins <= 80:
         raise ValueError("bins must lie between 20 and 80")
-    return value_histogram(df, "TotPkts", bins)
+    return value_histogram(df, "TotPkts", bins, bounds)
 
 
-def protocol_over_time(df: DataFrame, bins: int = 100) -> DataFrame:
+def protocol_over_time(df: DataFrame, bins: int = 100, bounds: tuple | None = None) -> DataFrame:
     """Flows per protocol in equal time bins, on whole microseconds."""
     time = micros(F.col("StartTime"))
-    lo, hi = _range(df, time)
+    if bounds is None:
+        lo, hi = _range(df, time)
+    else:
+        lo, hi = (micros(F.lit(None if b is None else str(b)).cast("timestamp_ntz")) for b in bounds)
     width = F.floor((hi - lo) / F.lit(bins)) + 1
     counts = (
         df.where("StartTime is not null")

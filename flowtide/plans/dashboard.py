@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
@@ -31,17 +31,21 @@ class Panels(dict):
         self.release()
 
 
-def panels(flows: DataFrame) -> dict[str, DataFrame]:
-    """Each panel as a DataFrame. Works on the newest flows and on the whole table alike."""
+def panels(flows: DataFrame, bounds: Mapping[str, tuple] | None = None) -> dict[str, DataFrame]:
+    """Each panel as a DataFrame. Works on the newest flows and on the whole table alike.
+
+    ``bounds`` (``files.labelled_bounds``) spare the histograms a pass over the table.
+    """
+    bounds = bounds or {}
     return {
         "prediction_counts": aggregates.prediction_counts(flows),
         "dashboard_metrics": aggregates.dashboard_metrics(flows),
         "correlation_matrix": aggregates.correlation_matrix(flows),
         "top_values": aggregates.top_values_all(flows),
         "network_activity": reshape.network_activity(flows),
-        "duration_histogram": histograms.duration_histogram(flows),
-        "protocol_over_time": histograms.protocol_over_time(flows),
-        "totpkts_histogram": histograms.totpkts_histogram(flows),
+        "duration_histogram": histograms.duration_histogram(flows, bounds=bounds.get("Dur")),
+        "protocol_over_time": histograms.protocol_over_time(flows, bounds=bounds.get("StartTime")),
+        "totpkts_histogram": histograms.totpkts_histogram(flows, bounds=bounds.get("TotPkts")),
         "packet_series": reshape.packet_series(flows),
         "byte_series": reshape.byte_series(flows),
     }

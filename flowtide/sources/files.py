@@ -120,6 +120,26 @@ def labelled_metrics(spark: SparkSession, path: str) -> DataFrame:
     return dashboard_metrics(read_labelled(spark, path), approximate=True) if found is None else found
 
 
+def labelled_bounds(spark: SparkSession, path: str) -> dict[str, tuple] | None:
+    """Least and greatest ``StartTime``, finite ``Dur`` and ``TotPkts`` of the whole table, from the records alone.
+
+    None for a table with merged parts that a repeated load has made stale: their range is not known without a scan.
+    """
+    found = manifest.bounds(spark, path)
+    return None if found is None else dict(zip(("StartTime", "Dur", "TotPkts"), zip(found[::2], found[1::2])))
+
+
+def write_bucketed(df: DataFrame, table: str, path: str, buckets: int, key: str = "flow_id") -> None:
+    """A catalogue table in ``buckets`` files by the key's hash, each sorted: joins on the key move no rows.
+
+    Both sides of a join need the same number of buckets; a bucket should fit in one task's memory.
+    """
+    (
+        df.repartition(buckets, key).write.mode("overwrite").option("path", path)
+        .bucketBy(buckets, key).sortBy(key).saveAsTable(table)
+    )
+
+
 def compact_labelled(spark: SparkSession, path: str, target_rows: int = manifest.MAX_RECORDS) -> int:
     """Merge small loads of a day; readers see each row once throughout. Returns how many parts were merged."""
     return manifest.compact(spark, path, _STORED, target_rows)

@@ -2,8 +2,8 @@
 
 A load writes its files to ``dt=<day>/load=<commit>``, where nobody looks for them yet, then its record: a small JSON file
 that appears in ``_manifest`` by one rename. Readers take the files that the records name, so a load is seen whole or not
-at all. A record has a row for each day: number of files, rows and attacks, first and last time, and a sketch of the source
-addresses, so the table's metrics come from the records alone. A compaction writes files of its own, and its
+at all. A record has a row for each day: number of files, rows and attacks, first and last time, least and greatest duration and packet count, and a sketch
+of the source addresses, so the table's metrics and the ranges of its histograms come from the records alone. A compaction writes files of its own, and its
 record names the parts (commit and day) that they stand for; a reader before, during or after it sees each row once.
 
 A load that is repeated under its name is its next version. Rows carry name and version, so older versions are left out even
@@ -16,11 +16,12 @@ replaced meanwhile gives up.
 
 from __future__ import annotations
 
+import math
 import time
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,6 +34,8 @@ RECORD = T.StructType([
     T.StructField("day", T.DateType()), T.StructField("files", T.LongType()), T.StructField("rows", T.LongType()),
     T.StructField("first_time", T.TimestampNTZType()), T.StructField("last_time", T.TimestampNTZType()),
     T.StructField("attacks", T.LongType()), T.StructField("addresses", T.BinaryType()),
+    T.StructField("least_dur", T.DoubleType()), T.StructField("most_dur", T.DoubleType()),
+    T.StructField("least_pkts", T.LongType()), T.StructField("most_pkts", T.LongType()),
     T.StructField("replaces", T.ArrayType(T.StringType())),
 ])
 #: Size of an address sketch as a power of two: about 2.5 KB for each load and day, standard error 1.04 / sqrt(2^12) = 1.6 %.
@@ -134,16 +137,23 @@ def write_parts(rows: DataFrame, path: str, commit: str, max_records: int = MAX_
         rename(spark, f"{staged}/{day}/{LOAD}={commit}", f"{path}/{day}/{LOAD}={commit}")
     remove(spark, staged)
     if not days:
-        return spark.createDataFrame([], T.StructType(RECORD[3:10]))
-    layout = T.StructType([*[rows.schema[c] for c in (TIME, "SrcAddr", "prediction")], T.StructField(DAY, T.DateType())])
+        return spark.createDataFrame([], T.StructType(RECORD[3:-1]))
+    layout = T.StructType([*[rows.schema[c] for c in (TIME, "SrcAddr", "prediction", "Dur", "TotPkts")], T.StructField(DAY, T.DateType())])
     written = _open(spark, path, [f"{d}/{LOAD}={commit}" for d in days], layout)
     return written.withColumn("file", F.col("_metadata.file_path")).groupBy(F.col(DAY).alias("day")).agg(
         F.size(F.collect_set("file")).cast("long").alias("files"), F.count("*").alias("rows"),
         F.min(TIME).alias("first_time"), F.max(TIME).alias("last_time"),
         F.count_if(F.col("prediction") == 1).alias("attacks"), F.hll_sketch_agg("SrcAddr", SKETCH).alias("addresses"),
+        F.min(_finite("Dur")).alias("least_dur"), F.max(_finite("Dur")).alias("most_dur"),
+        F.min("TotPkts").cast("long").alias("least_pkts"), F.max("TotPkts").cast("long").alias("most_pkts"),
     )
 
 
+def _finite(column: str) -> Column:
+    number = F.col(column).cast("double")
+    return F.when(F.abs(number) < math.inf, number)
+
+
 def put_record(found: DataFrame, path: str, commit: str) -> None:
     """Let a commit's record appear: from here on readers see its files."""
     spark = found.sparkSession
@@ -196,16 +206,28 @@ def newest_parts(found: DataFrame, n: int) -> DataFrame:
     return parts.where(cut.isNull() | (F.col("last_time") >= cut))
 
 
+def _clean_parts(spark: SparkSession, path: str) -> DataFrame | None:
+    found = records(spark, path)
+    parts = live_parts(found)
+    clean = _versions(found).where("number > 1").isEmpty() or parts.where("replaces is not null").isEmpty()
+    return parts if clean else None
+
+
+def bounds(spark: SparkSession, path: str) -> Row | None:
+    """Least and greatest time, finite duration and packet count of the whole table, from its records; None as in ``metrics``."""
+    parts = _clean_parts(spark, path)
+    return None if parts is None else parts.agg(
+        F.min("first_time"), F.max("last_time"), F.min("least_dur"), F.max("most_dur"), F.min("least_pkts"), F.max("most_pkts")
+    ).first()
+
+
 def metrics(spark: SparkSession, path: str) -> DataFrame | None:
     """Rows, distinct source addresses (estimated) and attacks of the whole table from its records, without a scan.
 
     None where merged parts may hold rows of stale versions, until they are merged again without them.
     """
-    found = records(spark, path)
-    parts = live_parts(found)
-    if not (_versions(found).where("number > 1").isEmpty() or parts.where("replaces is not null").isEmpty()):
-        return None
-    return parts.agg(
+    parts = _clean_parts(spark, path)
+    return None if parts is None else parts.agg(
         F.coalesce(F.sum("rows"), F.lit(0)).cast("long").alias("total_records"),
         F.coalesce(F.hll_sketch_estimate(F.hll_union_agg("addresses")), F.lit(0)).cast("long").alias("unique_addresses"),
         F.coalesce(F.sum("attacks"), F.lit(0)).cast("long").alias("attacks_detected"),

@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from flowtide.operators import combine
-from tests.helpers import raw_flows, rows
+from flowtide.sources import files
+from tests.helpers import plan, raw_flows, rows
 
 
 def test_flows_that_share_a_start_time_stay_two(spark):
@@ -13,6 +14,22 @@ def test_flows_that_share_a_start_time_stay_two(spark):
     assert combine.attach_predictions(flows, predictions).count() == 2
 
 
+def test_bucketed_sides_are_joined_where_they_lie(spark, tmp_path):
+    flows = spark.range(500).selectExpr("id as flow_id", "cast(id % 3 as int) as prediction", "id * 2 as v")
+    for side, columns in (("left_side", ["flow_id", "v"]), ("right_side", ["flow_id", "prediction"])):
+        files.write_bucketed(flows.select(*columns), side, str(tmp_path / side), buckets=4)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        joined = combine.attach_predictions(spark.table("left_side"), spark.table("right_side"))
+        assert rows(joined) == rows(flows.select("flow_id", "v", "prediction"))
+        text = plan(joined).split("Physical Plan")[1]
+        assert "SortMergeJoin" in text and "Exchange" not in text
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("drop table left_side")
+        spark.sql("drop table right_side")
+
+
 def test_split_does_not_depend_on_partitioning(spark):
     flows = spark.range(1000).withColumnRenamed("id", "flow_id")
     once = rows(combine.with_split(flows))

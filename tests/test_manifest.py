@@ -8,8 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from flowtide.operators.encode import preprocess_flows
+from flowtide.plans import dashboard
 from flowtide.sources import files, manifest
-from tests.helpers import NOON, raw_flows
+from tests.helpers import NOON, plan, raw_flows, rows
 
 DAYS = 4
 
@@ -158,6 +159,23 @@ def test_metrics_come_from_the_records(spark, path, monkeypatch):
     assert tuple(files.labelled_metrics(spark, path).first()) == (18, 2, 18)
 
 
+def test_ranges_come_from_the_records(spark, path):
+    files.write_labelled(labelled(spark, 0, Dur=float("inf")), path)
+    files.write_labelled(labelled(spark, 20, 4, Dur=2.5), path, load="a")
+    files.write_labelled(labelled(spark, 40, 4, Dur=0.5).withColumn("StartTime", F.lit(None).cast("timestamp_ntz")), path)
+    table, bounds = files.read_labelled(spark, path), files.labelled_bounds(spark, path)
+    assert bounds["Dur"] == (0.5, 2.5) and bounds["TotPkts"] == (0, 43)
+    assert bounds["StartTime"] == tuple(table.agg(F.min("StartTime"), F.max("StartTime")).first())
+    found, plain = dashboard.panels(table, bounds), dashboard.panels(table)
+    for name in ("duration_histogram", "totpkts_histogram", "protocol_over_time"):
+        assert rows(found[name]) == rows(plain[name])
+        assert plan(found[name]).split("Physical Plan")[1].split("Initial Plan")[0].count("FileScan") == 1
+    files.compact_labelled(spark, path)
+    assert files.labelled_bounds(spark, path) == bounds
+    files.write_labelled(labelled(spark, 20, 4, Dur=1.5), path, load="a")
+    assert files.labelled_bounds(spark, path) is None
+
+
 def test_a_table_without_loads_is_empty(spark, path):
     assert files.read_labelled(spark, path).count() == 0
     assert files.newest_labelled(spark, path, 5).count() == 0
