@@ -135,17 +135,37 @@ def learn(rows: list[tuple[np.ndarray, np.ndarray, int]], z: np.ndarray, n: np.n
         n[at] += g * g
 
 
+def _smallest(places: DataFrame, sample: int) -> DataFrame:
+    """The ``sample`` smallest different places of each language, with their rank.
+
+    Places are hashes, so a bound taken from the number of different ones leaves about twice the sample to be ranked,
+    however many rows a language has. Should it leave too few, all are ranked.
+    """
+    counted = common.stored_side(places.groupBy("lang").agg(F.approx_count_distinct("place").alias("n")), "language-sizes")
+    share = F.least(F.lit(1.0), 2.0 * (sample + 50) / F.greatest(F.col("n"), F.lit(1)))
+    near = places.join(counted, "lang").filter(F.col("place").cast("double") <= -(2.0**63) + 2.0**64 * share)
+    near = common.store(near.select("lang", "place").distinct(), "language-places")
+    found = near.groupBy("lang").agg(F.count(F.lit(1)).alias("left")).join(counted, "lang")
+    if not found.filter((F.col("left") < sample) & (F.col("n") > 2.0 * (sample + 50))).isEmpty():
+        near = places.distinct()
+    ranked = near.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("place")))
+    return ranked.filter(F.col("rank") <= sample)
+
+
 def fit(rows: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", sample: int = SAMPLE) -> Model | None:
-    """Learn from text and language of all rows with a language; ``key`` only picks the sample."""
+    """Learn from text and language of all rows with a language; ``key`` only picks the sample.
+
+    Rows that are equal in key, text and language count as one in the sample.
+    """
     place = F.xxhash64(F.lit(42), F.col(key), F.col(text))
     rows = rows.filter(F.col(lang).isNotNull()).select(F.col(text).alias("text"), F.col(lang).alias("lang"), place.alias("place"))
     seen, docs = _document_frequencies(rows.select("text"))
     if not docs:
         return None
     idf = (np.log((1 + docs) / (1 + seen)) + 1).astype(np.float32)
-    first = rows.select("lang", "place").withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("place"))).filter(F.col("rank") <= sample)
-    chosen = common.stored_side(first.select("lang", "place", "rank").distinct(), "language-sample")
-    taught = common.store(rows.join(chosen, ["lang", "place"]), "language-texts")
+    chosen = common.stored_side(_smallest(rows.select("lang", "place"), sample), "language-sample")
+    taught = rows.join(chosen, ["lang", "place"]).groupBy("lang", "place", "rank").agg(F.first("text").alias("text"))
+    taught = common.store(taught, "language-texts")
     languages = tuple(r.lang for r in taught.select("lang").distinct().orderBy("lang").collect())
     classes, k = {name: i for i, name in enumerate(languages)}, len(languages)
     dealt = taught.withColumn("part", F.when(F.col("rank") % 5 == 0, -1).otherwise(F.pmod(F.col("rank"), F.lit(TASKS)).cast("int")))
