@@ -161,8 +161,11 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_register("op1_quality_classifier", f"""with
 trusted as (select distinct doc_id from labels where quality = 1 and toxic = 0 and doc_id is not null),
-sample as (select doc_id from documents join trusted using (doc_id) where md5(cast(doc_id as varchar)) < '8'
-    and length(text) <= {quality.LONGEST} order by md5(cast(doc_id as varchar)), text limit {quality.SAMPLE}),
+pool as (select doc_id, lang, text, cast('0x' || md5(cast(doc_id as varchar))[1:8] as bigint) as drawn
+    from documents join trusted using (doc_id) where md5(cast(doc_id as varchar)) < '8'),
+sizes as (select lang, sum(coalesce(length(text), 0)) as size from pool group by lang),
+sample as (select doc_id from pool join sizes on pool.lang is not distinct from sizes.lang
+    where drawn < least(1, {quality.CHARACTERS} / (select count(*) from sizes) / greatest(size, 1)) * 2147483648.0),
 texts as (select doc_id as key, text, doc_id in (select doc_id from sample) as train from documents),
 {sql.kneser_ney('texts')},
 judged as (select doc_id, lang, tokens, round(-score / tokens, 4) as p from scored join documents on key = doc_id),
@@ -173,7 +176,7 @@ placed as (select lang, everything, value, sum(n) over (partition by lang, every
     sum(n) over (partition by lang, everything order by value) as upto from all_values),
 limits as (select lang, everything, n, round(min(value) + {quality.MARGIN}, 4) as threshold from placed
     where upto >= {quality.QUANTILE} * n group by 1, 2, 3),
-found as (select judged.*, coalesce(own.threshold, (select threshold from limits where everything)) as threshold from judged
+found as (select judged.*, coalesce(own.threshold, case when lang is null then (select threshold from limits where everything) end) as threshold from judged
     left join (select * from limits where not everything and n >= {quality.ENOUGH} and lang is not null) as own using (lang))
 select doc_id, lang, tokens as n_tokens, p as log10_perplexity, threshold,
     coalesce(p <= threshold + {quality.CAUTION} / sqrt(tokens), true) as kept from found""")

@@ -284,7 +284,7 @@ def test_quality_scores_and_filter(spark, docs, empty):
     labels = spark.createDataFrame([(i, 1, 0) for i in range(4, 40)] + [(None, 1, 0), (2, 0, 0), (7, 1, 1)], "doc_id long, quality int, toxic int")
     rows = quality.judge(docs, labels, margin=0.0).collect()
     pool = [r for r in docs.collect() if r.doc_id is not None and 4 <= r.doc_id < 40 and r.doc_id != 7
-            and hashlib.md5(str(r.doc_id).encode()).hexdigest() < "8" and len(r.text) <= quality.LONGEST]
+            and hashlib.md5(str(r.doc_id).encode()).hexdigest() < "8"]
     pool += [r for r in docs.collect() if r.doc_id == 7 and hashlib.md5(b"7").hexdigest() < "8"]
     want = kneser_ney([r.text for r in pool], TEXTS)
     got = {r.key: r for r in rows if r.key is not None}
@@ -292,10 +292,31 @@ def test_quality_scores_and_filter(spark, docs, empty):
         assert got[i].tokens == want[i][0] and got[i].log10_perplexity == pytest.approx(-want[i][3] / want[i][0], abs=6e-5)
     good = quality.keep_good(docs, labels)
     assert good.columns == docs.columns and good.count() <= docs.count()
+    clash = quality.keep_good(docs.withColumns({c: F.lit("own") for c in ("__key", "own", "kept", "threshold")}), labels)
+    assert clash.filter("__key = 'own' and own = 'own' and kept = 'own'").count() == good.count() == clash.count()
     assert quality.keep_good(docs, labels.limit(0)).count() == docs.count()
     assert quality.keep_good(empty, labels).count() == 0
 
 
+def test_quality_learns_from_long_texts_and_keeps_rare_languages(spark):
+    words = ["the", "house", "of", "rain", "and", "hash", "one", "tree"]
+    text = lambda: " ".join(R.choice(words) for _ in range(1500))
+    rows = [(i, text(), "en") for i in range(150)]
+    junk = [(1000, "zq xw vk jj " * 400, "en"), (1001, "zq xw vk jj " * 400, "xx"), (1002, "zq xw vk jj " * 400, None)]
+    docs = spark.createDataFrame(rows + junk, "doc_id long, text string, lang string")
+    assert min(len(t) for _, t, _ in rows) > 5000
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(150)], "doc_id long, quality int, toxic int")
+    got = {r.key: r for r in quality.judge(docs, labels).collect()}
+    assert all(r.log10_perplexity is not None for r in got.values())
+    assert all(got[i].kept for i in range(150)) and not got[1000].kept and not got[1002].kept
+    assert got[1001].kept and got[1001].threshold is None
+    # A small bound takes some of the documents only, whole ones.
+    few = quality._taught(docs.withColumnRenamed("doc_id", "key").filter("key < 150"), 100_000)
+    assert 5 < few.count() < 40 and few.filter("length(text) > 5000").count() == few.count()
+    with pytest.warns(UserWarning, match="all documents are kept"):
+        quality.judge(docs, labels.limit(0))
+
+
 # ---- language ID -----------------------------------------------------------------------------
 
 def test_language_id(spark, empty):
