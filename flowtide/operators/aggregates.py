@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from flowtide.functions import labels
 
+# Columns of the top lists and of the correlations.
 TOP_COLUMNS = ("SrcAddr", "DstAddr", "Dport", "prediction")
 CORRELATED = ("SrcBytes", "TotBytes", "TotPkts")
 

@@ -280,15 +280,18 @@ def decode_row_json(messages: DataFrame, layout: T.StructType, observe: str | No
     """
     texts = T.StructType([T.StructField(f.name, T.StringType()) for f in layout])
     marked = T.StructType([*texts, T.StructField(_BROKEN, T.StringType())])
-    read = messages.select(F.from_json("value", marked, {"columnNameOfCorruptRecord": _BROKEN}).alias("r"))
-    good = F.col("r").isNotNull() & F.col("r")[_BROKEN].isNull()
-    if observe is not None:
+    read = F.from_json("value", marked, {"columnNameOfCorruptRecord": _BROKEN})
+    if observe is None:
+        # A filter on what was read would be pushed below the reading and parse each message twice; a generator is not.
+        rows = messages.select(F.inline(F.filter(F.array(read), lambda r: r.isNotNull() & r[_BROKEN].isNull())))
+    else:
+        good = F.col("r").isNotNull() & F.col("r")[_BROKEN].isNull()
         unfit = F.size(unfit_cells(lambda name: F.col("r")[name], layout))
-        read = read.observe(
+        rows = messages.select(read.alias("r")).observe(
             observe, F.count(F.lit(1)).alias("messages"), F.count_if(~good).alias("broken"),
             F.coalesce(F.sum(F.when(good, unfit)), F.lit(0)).alias("unfit_cells"),
-        )
-    return read.where(good).select(*[typed_text(F.col("r")[f.name], f.dataType).alias(f.name) for f in layout])
+        ).where(good).select("r.*")
+    return rows.select(*[typed_text(F.col(f.name), f.dataType).alias(f.name) for f in layout])
 
 
 def first_per_chunk(df: DataFrame) -> DataFrame:

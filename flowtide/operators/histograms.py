@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 
 from flowtide.functions.flow import from_micros, micros
 
+# Numbers of bins.
+DURATION_BINS, PACKET_BINS, PACKET_BINS_LEAST, PACKET_BINS_MOST, TIME_BINS = 100, 20, 20, 80, 100
+
 
 def _range(df: DataFrame, value):
     bounds = df.agg(F.struct(F.min(value).alias("lo"), F.max(value).alias("hi"))).scalar()
@@ -43,7 +46,7 @@ def value_histogram(df: DataFrame, column: str, bins: int, bounds: tuple | None
     )
 
 
-def duration_histogram(df: DataFrame, bins: int = 100, bounds: tuple | None = None) -> DataFrame:
+def duration_histogram(df: DataFrame, bins: int = DURATION_BINS, bounds: tuple | None = None) -> DataFrame:
     return value_histogram(df, "Dur", bins, bounds)
 
 
@@ -52,13 +55,13 @@ def duration_rug(df: DataFrame) -> DataFrame:
     return df.select("Dur").where("Dur is not null")
 
 
-def totpkts_histogram(df: DataFrame, bins: int = 20, bounds: tuple | None = None) -> DataFrame:
-    if not 20 <= bins <= 80:
-        raise ValueError("bins must lie between 20 and 80")
+def totpkts_histogram(df: DataFrame, bins: int = PACKET_BINS, bounds: tuple | None = None) -> DataFrame:
+    if not PACKET_BINS_LEAST <= bins <= PACKET_BINS_MOST:
+        raise ValueError(f"bins must lie between {PACKET_BINS_LEAST} and {PACKET_BINS_MOST}")
     return value_histogram(df, "TotPkts", bins, bounds)
 
 
-def protocol_over_time(df: DataFrame, bins: int = 100, bounds: tuple | None = None) -> DataFrame:
+def protocol_over_time(df: DataFrame, bins: int = TIME_BINS, bounds: tuple | None = None) -> DataFrame:
     """Flows per protocol in equal time bins, on whole microseconds."""
     time = micros(F.col("StartTime"))
     if bounds is None:

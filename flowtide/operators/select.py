@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from flowtide.schema import SEARCH_LIMIT
 
 TIME, DAY, FLOW_ID = "StartTime", "dt", "flow_id"
+# Columns that a search always shows.
 ALWAYS_SHOWN = ["StartTime", "SrcAddr", "DstAddr"]
 EARLIEST_DAY = "0001-01-01"
 
