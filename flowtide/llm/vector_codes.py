@@ -4,8 +4,8 @@ Vectors are scaled to integers and cut into equal parts. At each part position a
 part goes to its nearest entry, and each entry becomes the floor of its parts' mean. Equal parts are counted first, with
 partial sums before the shuffle, so a vector that a third of all rows share is one part with a weight.
 
-The distinct parts of a task lie in lexicographic order, which is the order in which a depth-first walk of their trie
-meets its leaves. A node holds the distances of its prefix to all entries, summed over the dimensions so far, and
+The distinct parts of a file lie in lexicographic order, which is the order in which a depth-first walk of their trie
+meets its leaves; where a task reads several files, the walk starts again from the root. A node holds the distances of its prefix to all entries, summed over the dimensions so far, and
 passes them on to its children: a prefix that many parts share is worked out once. The walk takes ``LEAVES`` leaves
 at a time, and in numpy all nodes of one depth among them. Leaves take the nearest entry and add weighted sums.
 
@@ -53,7 +53,7 @@ class Codebooks:
 
 
 def nearest(parts: np.ndarray, entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Index of the nearest entry, ties to the lower, and its squared distance, for distinct parts in lexicographic order."""
+    """Index of the nearest entry, ties to the lower, and its squared distance; least work for distinct parts in lexicographic order."""
     n, dims = parts.shape
     best, distance = np.empty(n, np.int64), np.empty(n, np.int64)
     for first in range(0, n, LEAVES):
@@ -98,7 +98,7 @@ def _whole(vector: Column) -> Column:
 
 
 def distinct_parts(vectors: DataFrame, vector: str, parts: int, dims: int, scale: int = SCALE) -> DataFrame:
-    """Each distinct part with its position and weight, stored; lexicographic within each task's share."""
+    """Each distinct part with its position and weight, stored; lexicographic within each file."""
     width = dims // parts
     cut = F.transform(F.sequence(F.lit(0), F.lit(parts - 1)), lambda p: F.slice(F.col("v"), p * width + 1, width))
     scaled = vectors.where(F.size(vector) == dims).select(_scaled(F.col(vector), scale).alias("v"))
@@ -117,12 +117,13 @@ def _round(parts: DataFrame, entries: np.ndarray) -> np.ndarray:
             rows = _checked(_matrix(batch.column(1), width), width)
             weight = batch.column(2).to_numpy()
             for p in np.unique(position):
-                first, last = np.searchsorted(position, [p, p + 1])
-                best, _ = nearest(rows[first:last], entries[p])
+                # A batch may hold rows of several files, each with all positions.
+                mine = np.flatnonzero(position == p)
+                best, _ = nearest(rows[mine], entries[p])
                 order = np.argsort(best, kind="stable")
                 used, at = np.unique(best[order], return_index=True)
-                w = weight[first:last][order]
-                sums[p, used] += np.add.reduceat(rows[first:last][order] * w[:, None], at, axis=0)
+                w = weight[mine][order]
+                sums[p, used] += np.add.reduceat(rows[mine][order] * w[:, None], at, axis=0)
                 weights[p, used] += np.add.reduceat(w, at)
         p, e = np.nonzero(weights)
         yield pa.RecordBatch.from_arrays(

@@ -108,3 +108,19 @@ def test_equal_parts_are_counted_once(spark):
     parts = vector_codes.distinct_parts(table(spark, rows), "embedding", 2, 16)
     assert parts.where("position = 0").select(F.sum("weight"), F.count("*")).first() == (30, 1)
     assert parts.where("position = 1").count() == 30
+
+
+def test_tasks_that_read_several_files(spark):
+    """Positions ascend within a file of parts and start again in the next."""
+    rows = vectors(8, 200)
+    wanted, entries = brute(rows)
+    set_before = {name: spark.conf.get(name) for name in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "40")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        books = vector_codes.fit(table(spark, rows))
+    finally:
+        for name, value in set_before.items():
+            spark.conf.set(name, value)
+    assert books.entries.tolist() == entries
+    assert {r.vec_id: [(r.code, r.error)] for r in vector_codes.encode(table(spark, rows), books).collect()} == wanted
