@@ -348,7 +348,7 @@ class Reader:
             n[part] = np.where((low < after) & (found >> np.uint64(32) == wanted), found & np.uint64(0xFFFFFFFF), 0)
         return n, rest
 
-    def score(self, data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
+    def score(self, data: np.ndarray, offsets: np.ndarray, finite: bool = False) -> dict[str, np.ndarray]:
         m = self.model
         h, places = tokens.sentences(data, offsets)
         unique, inverse = np.unique(h, return_inverse=True)
@@ -376,6 +376,8 @@ class Reader:
         p = alone[inverse]
         seen = total > 0
         p[seen] = (above[where][seen] + rest[where][seen] * p[seen]) / total[seen]
+        if finite:
+            p = np.where(p > 0, p, alone[inverse])
         at = places[:-1]
         return {
             "n_tokens": np.diff(places), "n_known": np.add.reduceat(known[inverse].astype(np.int64), at),
@@ -391,9 +393,10 @@ def _reader(model: Model) -> Reader:
 SCORED = "n_tokens long, n_known long, base_score double, score double"
 
 
-def score(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+def score(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None, finite: bool = False) -> DataFrame:
     """Columns ``keep`` (all but the text by default), the numbers of tokens and of known tokens, and
-    the log10 probability of the text by the smoothed unigram base and by the model."""
+    the log10 probability of the text by the smoothed unigram base and by the model. With ``finite`` a word that a context's
+    discounts leave no probability has that of the word alone."""
     keep = [c for c in docs.columns if c != text] if keep is None else keep
     kept = docs.select(F.col(text).alias("text"), *[F.col(c) for c in keep])
     schema = T.StructType([*kept.schema.fields[1:], *T._parse_datatype_string(SCORED).fields])
@@ -401,7 +404,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | N
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b, data, offsets in common.utf8_parts(batch.column(0), PART):
-                found = _reader(model).score(data, offsets)
+                found = _reader(model).score(data, offsets, finite)
                 yield pa.RecordBatch.from_arrays(
                     [*(c.slice(a, b - a) for c in batch.columns[1:]), *map(pa.array, found.values())], schema.names
                 )

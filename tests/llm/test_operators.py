@@ -317,6 +317,20 @@ def test_quality_learns_from_long_texts_and_keeps_rare_languages(spark):
         quality.judge(docs, labels.limit(0))
 
 
+def test_quality_counts_all_trusted_texts_of_its_half(spark):
+    """Many languages, so that an equal share of a bound would be less than the large one's texts."""
+    words = [f"w{i}" for i in range(300)]
+    rows = [(i, " ".join(R.choice(words) for _ in range(900)), "en") for i in range(60)]
+    rows += [(100 + i, f"rare{i} word", f"l{i}") for i in range(800)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1, 0) for i, _, _ in rows], "doc_id long, quality int, toxic int")
+    pool = [t for i, t, _ in rows if hashlib.md5(str(i).encode()).hexdigest() < "8"]
+    want = kneser_ney(pool, [t for _, t, _ in rows])
+    got = {r.key: r.log10_perplexity for r in quality.judge(docs, labels).collect()}
+    assert len(got) == len(rows)
+    assert all(got[i] == pytest.approx(-s / n, abs=6e-5) for (i, _, _), (n, _, _, s) in zip(rows, want, strict=True))
+
+
 # ---- language ID -----------------------------------------------------------------------------
 
 def test_language_id(spark, empty):
