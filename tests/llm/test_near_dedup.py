@@ -7,9 +7,10 @@ import random
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from flowtide.llm import common, near_dedup
+from flowtide.llm import common, near_dedup, simhash
 
 SCHEMA = "doc_id long, text string, lang string"
 
@@ -97,3 +98,31 @@ def test_pairs_at_the_border_share_a_band_within_the_radius():
         found += bool((bands[0] == bands[1]).any())
     print(total, found, furthest)
     assert total > 50 and found == total and 11 < furthest <= near_dedup.RADIUS
+
+
+def test_fingerprints_alone_find_close_copies_and_the_check_follows(spark):
+    """Without bands: pairs within 3 bits, one kind similar and one not."""
+    r = random.Random(4)
+
+    def prints(texts):
+        return np.concatenate([simhash.fingerprints_of(d, o) for _, _, d, o in common.utf8_parts(pa.array(texts), 1 << 30)])
+
+    pairs = {True: [], False: []}
+    while min(map(len, pairs.values())) < 3:
+        one = [f"w{r.randrange(10**6)}" for _ in range(60)]
+        two = list(one)
+        for at in r.sample(range(60), r.randint(1, 2)):
+            two[at] = f"w{r.randrange(10**6)}"
+        a, b = " ".join(one), " ".join(two)
+        x, y = prints([a, b])
+        if int(np.bitwise_count(x ^ y)) <= 3:
+            pairs[jaccard(shingles(a), shingles(b)) >= 0.8].append((a, b))
+    texts = [t for kind in (True, False) for p in pairs[kind][:3] for t in p]
+    rows = spark.createDataFrame(list(enumerate(texts)), "key long, text string")
+    found = near_dedup.signatures(rows).withColumn("bands", F.array().cast("array<bigint>"))
+    nodes = common.store(found.withColumnRenamed("key", "low"), "nodes")
+    candidates = near_dedup.close(nodes.select("node", "print"))
+    key = {x.node: x.low for x in nodes.collect()}
+    assert {frozenset((key[x.a], key[x.b])) for x in candidates.collect()} == {frozenset((i, i + 1)) for i in range(0, 12, 2)}
+    edges = near_dedup.links(nodes, rows, candidates).collect()
+    assert {frozenset((key[x.a], key[x.b])) for x in edges} == {frozenset((i, i + 1)) for i in range(0, 6, 2)}
