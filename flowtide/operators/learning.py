@@ -80,8 +80,12 @@ def _boosted(rounds: int, depth: int, seed: int) -> list:
 
 
 def partitions_for(rows: int) -> int:
-    """Partitions of training rows: 10,000 rows each, and more rows each as tables grow (ten times the root)."""
-    return max(1, math.ceil(rows / max(10_000, 10 * math.isqrt(rows))))
+    """Partitions of training rows: 10,000 rows each up to 100 partitions. These grow to 250,000 rows each (or ten times the root) before there are more.
+
+    Every level of every tree is a task a partition, and each task sends its own statistics of all the level's nodes.
+    """
+    most = max(250_000, 10 * math.isqrt(rows))
+    return max(1, math.ceil(rows / max(10_000, min(math.ceil(rows / 100), most))))
 
 
 def _placed(df: DataFrame, partitions: int | None) -> DataFrame:

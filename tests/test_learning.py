@@ -93,6 +93,11 @@ def test_training_partitions_follow_the_rows():
     assert counts == [1, 1, 1, 10, 100, 3163, 100_000]
 
 
+def test_partitions_fill_up_before_there_are_more_than_a_hundred():
+    counts = [learning.partitions_for(n) for n in (999_999, 5_100_000, 25_000_000, 30_600_000)]
+    assert counts == [100, 100, 100, 123]
+
+
 def test_equal_rows_are_dealt_to_many_partitions(spark, monkeypatch):
     monkeypatch.setattr(learning, "_PIECE", 20)
     df = spark.range(1000).select(F.when(F.col("id") < 400, -1).otherwise(F.col("id")).alias("a"), F.lit(0.5).alias("b"))
