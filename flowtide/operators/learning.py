@@ -12,22 +12,27 @@ from multiprocessing.pool import ThreadPool
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import Bucketizer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowtide.functions.flow import null_if_nan
 from flowtide.operators.aggregates import accuracy
 from flowtide.schema import CATEGORY_NAMES, ENCODED_COLUMNS, FEATURES, LABELLED_COLUMNS
 
-# Model size and early stopping.
+# Model size and early stopping, and the bins of a boosted feature.
 MAX_DEPTH, TREES = 5, 100
 MISSING = 0.0
+BINS = 32
 
 _CLASS = "class_label"
 _INPUT = "x_"
+_BIN = "bin_"
 _PIECE = 1000
+# Spark draws max(10,000, maxBins squared) rows for its split candidates. Rows of bins have BINS values a feature at most, and this
+# lets it see all bins: up to about a million such rows it draws none.
+_SEEN_BINS = 1024
 
 
 def fill_features(df: DataFrame) -> DataFrame:
@@ -71,7 +76,7 @@ def _boosted(rounds: int, depth: int, seed: int) -> list:
         GBTClassifier(
             featuresCol="features", labelCol=f"is_{c}", weightCol="weight",
             validationIndicatorCol="isVal", maxIter=rounds, maxDepth=depth, seed=seed,
-            predictionCol=f"prediction_{c}",
+            maxBins=_SEEN_BINS, predictionCol=f"prediction_{c}",
         )
         .setRawPredictionCol(f"raw_{c}")
         .setProbabilityCol(f"probability_{c}")
@@ -88,6 +93,11 @@ def partitions_for(rows: int) -> int:
     return max(1, math.ceil(rows / max(10_000, min(math.ceil(rows / 100), most))))
 
 
+def binned_partitions_for(rows: int) -> int:
+    """Partitions of rows of bins: 50,000 rows each, more from 5 million on, so that there are 100 until 25 million rows."""
+    return max(1, math.ceil(rows / max(50_000, min(math.ceil(rows / 100), 250_000))))
+
+
 def _placed(df: DataFrame, partitions: int | None) -> DataFrame:
     """Rows dealt by their values and in order, so that a fit doesn't depend on the input's partitions.
 
@@ -103,6 +113,79 @@ def _placed(df: DataFrame, partitions: int | None) -> DataFrame:
     return dealt.withColumn("copy", F.explode(F.sequence(F.lit(1), copies))).select(*columns)
 
 
+def cut_points(df: DataFrame, columns: list[str], bins: int = BINS) -> dict[str, list[float]]:
+    """Cuts between up to ``bins`` bins of about the same ``weight``, for each column of more than ``bins`` values, from all rows.
+
+    The k-th cut lies at the first place not cut yet where the weight below, with half of the next value's, exceeds k parts of
+    ``bins``: the rule of Spark's trees, which draw 10,000 rows for it.
+    Values are counted, laid in ranges and summed up range by range, so no column meets in one task; places that may be cut are collected.
+    """
+    cells = F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("value")) for c in columns]))
+    counted = df.select(cells.alias("cell"), "weight").groupBy("cell.feature", "cell.value").agg(F.sum("weight").alias("w"))
+    # Stored, as sums and places have to see the same ranges.
+    placed = counted.repartitionByRange("feature", "value").withColumn("part", F.spark_partition_id()).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        parts = placed.groupBy("feature", "part").agg(F.sum("w").alias("w"), F.max("value").alias("last"), F.count("*").alias("n"))
+        whole = Window.partitionBy("feature")
+        earlier = whole.orderBy("part")
+        ahead = parts.select(
+            "feature", "part", F.sum("w").over(whole).alias("total"), F.sum("n").over(whole).alias("values"),
+            F.coalesce(F.sum("w").over(earlier.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("below"),
+            F.lag("last").over(earlier).alias("before"),
+        )
+        in_part = Window.partitionBy("feature", "part").orderBy("value")
+        running = F.col("below") + F.sum("w").over(in_part.rowsBetween(Window.unboundedPreceding, 0))
+        places = placed.join(F.broadcast(ahead), ["feature", "part"]).select(
+            "feature", "part", "value", "total", "values", (running - F.col("w") / 2).alias("middle"),
+            F.coalesce(F.lag("value").over(in_part), "before").alias("previous"),
+        )
+        places = places.where((F.col("values") > bins) & F.col("previous").isNotNull()).withColumn("passed", F.ceil(F.col("middle") * bins / F.col("total")))
+        # Of places past the same parts, only the first can be cut: at most one for each cut.
+        for group in (["feature", "part", "passed"], ["feature", "passed"]):
+            nth = F.row_number().over(Window.partitionBy(*group).orderBy("value"))
+            places = places.withColumn("nth", nth).where(F.col("nth") < bins)
+        found = {}
+        for row in places.orderBy("feature", "value").collect():
+            cuts = found.setdefault(row.feature, [])
+            if row.middle > (len(cuts) + 1) * row.total / bins:
+                cuts.append((row.previous + row.value) / 2)
+        return found
+    finally:
+        placed.unpersist()
+
+
+def _binning(columns: list[str], cuts: dict[str, list[float]]) -> PipelineModel:
+    """Features, those with cuts as the numbers of their bins. A value at a cut belongs below it, as in Spark's trees."""
+    cut = [c for c in columns if c in cuts]
+    bounds = [[-math.inf, *sorted({math.nextafter(x, math.inf) for x in cuts[c] if x < math.inf} or {0.0}), math.inf] for c in cut]
+    numbers = VectorAssembler(inputCols=[_BIN + c if c in cuts else c for c in columns], outputCol="features")
+    bucketizers = [Bucketizer(splitsArray=bounds, inputCols=cut, outputCols=[_BIN + c for c in cut])] if cut else []
+    return PipelineModel([*bucketizers, numbers])
+
+
+def _binned(rows: DataFrame, binning: PipelineModel, partitions: int | None) -> DataFrame:
+    """Rows of equal bins and class as one row with their summed weight, dealt by their values and in order.
+
+    Trees that look at bins only can't tell them apart, so the fit is that on all rows.
+    """
+    *bucketizers, assembler = binning.stages
+    key = [*assembler.getInputCols(), _CLASS, "isVal"]
+    # Weights are multiplied and not added up, so that Spark still meets one that is missing or negative.
+    counted = PipelineModel(bucketizers).transform(rows).groupBy(*key, "weight").agg(F.count("*").alias("n"))
+    counted = counted.withColumn("weight", F.col("weight") * F.col("n")).drop("n").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        if partitions is None:
+            partitions = binned_partitions_for(counted.count())
+        dealt = counted.repartition(partitions, *key).sortWithinPartitions(*key, "weight")
+        targets = {f"is_{c}": F.when(F.col(_CLASS) == c, 1.0).otherwise(0.0) for c in CATEGORY_NAMES}
+        # Bins are numbers in order: as the categories that the bucketizer marks, trees would put them in any order.
+        narrow = assembler.transform(dealt).withMetadata("features", {}).withColumns(targets).drop(*assembler.getInputCols())
+        narrow.persist(StorageLevel.MEMORY_AND_DISK).count()
+        return narrow
+    finally:
+        counted.unpersist()
+
+
 def _fit_side_by_side(estimators: list, rows: DataFrame) -> list:
     """Fit on one stored table at once; each fit's jobs take the cores that the others leave free."""
     with ThreadPool(len(estimators)) as pool:
@@ -120,25 +203,26 @@ def train_flow_classifier(
     """Fit on encoded flows that carry ``isVal`` and ``weight`` (see ``union_train_val``).
 
     ``forest`` fits one three-class random forest on the rows not marked ``isVal``. ``boosted`` fits
-    a gradient-boosted classifier per class, side by side, and stops each early on the rows marked. Rows without one of
+    a gradient-boosted classifier per class, side by side, and stops each early on the rows marked; it learns from rows of
+    bins (``cut_points``) with their weights, so that a round takes as long as there are such rows. Rows without one of
     the three labels are left out. The model follows from the rows and the seed: ``partitions`` follow from the number of
-    rows unless given (``partitions_for``).
+    rows unless given (``partitions_for``, ``binned_partitions_for``).
     """
     estimators = {"forest": _forest, "boosted": _boosted}[method](trees, depth, seed)
-    rows = _labelled(train)
+    inputs = [_INPUT + c for c in FEATURES]
+    rows = _labelled(train).select(*inputs, _CLASS, "isVal", "weight")
     if method == "boosted":
-        rows = rows.withColumns(
-            {f"is_{c}": F.when(F.col(_CLASS) == c, 1.0).otherwise(0.0) for c in CATEGORY_NAMES}
-        )
-    inputs = [c for c in rows.columns if c.startswith((_INPUT, "is_", _CLASS))]
-    narrow = _placed(rows.select(*inputs, "isVal", "weight"), partitions)
-    # Every tree level is a pass over these rows. They may spill to disk and are rebuilt if lost.
-    narrow = feature_assembler().transform(narrow).drop(*[_INPUT + c for c in FEATURES])
-    narrow.persist(StorageLevel.MEMORY_AND_DISK)
+        features = _binning(inputs, cut_points(rows.where(~F.col("isVal")), inputs))
+        narrow = _binned(rows, features, partitions)
+    else:
+        features = feature_assembler()
+        # Every tree level is a pass over these rows. They may spill to disk and are rebuilt if lost.
+        narrow = features.transform(_placed(rows, partitions)).drop(*inputs)
+        narrow.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         # Filtered above the stored rows, where the flag is a plain column.
         fitted = narrow if method == "boosted" else narrow.filter(~F.col("isVal"))
-        return PipelineModel([feature_assembler(), *_fit_side_by_side(estimators, fitted)])
+        return PipelineModel([features, *_fit_side_by_side(estimators, fitted)])
     finally:
         narrow.unpersist()
 

@@ -114,3 +114,33 @@ def test_a_model_does_not_depend_on_the_layout(spark):
         for flows in (separable(spark), separable(spark).repartition(7, "Dur").orderBy(F.desc("flow_id")))
     ]
     assert fitted[0] == fitted[1] and fitted[2] == fitted[3]
+
+
+def _many_flows(spark, copies):
+    return spark.range(400).selectExpr(
+        "cast(id % 3 as string) as Label", "cast(id % 3 as double) as Dur", "id % 7 as TotPkts", "id % 11 as TotBytes", "id % 5 as SrcBytes",
+        "cast(id % 3 = 1 as int) as Proto_tcp", "0 as Proto_udp", "1 as Dir_one", "0 as sTosone", "0 as Proto_others", "0 as Dir_others",
+        "id % 5 = 0 as isVal", "1.0d as weight", f"explode(sequence(1, {copies})) as copy").drop("copy")
+
+
+def test_boosting_learns_from_one_weighted_row_of_equal_bins(spark, monkeypatch):
+    fitted = []
+    keep = learning._fit_side_by_side
+    monkeypatch.setattr(learning, "_fit_side_by_side", lambda estimators, rows: fitted.append(rows.collect()) or keep(estimators, rows))
+    models = [learning.train_flow_classifier(_many_flows(spark, n), "boosted", trees=1) for n in (1, 6)]
+    assert [len(rows) for rows in fitted] == [400, 400]
+    assert {r.weight for r in fitted[0]} == {1.0} and {r.weight for r in fitted[1]} == {6.0}
+    texts = [[b.toDebugString.split("\n", 1)[1] for b in m.stages[1:]] for m in models]
+    assert texts[0] == texts[1] and " in {" not in "".join(texts[0])
+
+
+def test_cuts_follow_the_weights_of_all_rows(spark):
+    # 0 has half of the weight; the rest is even, and one column has few values.
+    rows = spark.range(2000).selectExpr("case when id < 1000 then 0.0d else cast(id as double) end as a", "cast(id % 3 as double) as b", "1.0d as weight")
+    values = [(0.0, 1000), *((float(i), 1) for i in range(1000, 2000))]
+    cuts, below = [], 1000
+    for (before, _), (value, n) in zip(values, values[1:], strict=False):
+        if abs(below - (len(cuts) + 1) * 62.5) < abs(below + n - (len(cuts) + 1) * 62.5):
+            cuts.append((before + value) / 2)
+        below += n
+    assert learning.cut_points(rows.repartition(3), ["a", "b"]) == {"a": cuts}
