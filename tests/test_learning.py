@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import re
+
 import pytest
 from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import functions as F
@@ -7,7 +9,8 @@ from pyspark.sql import functions as F
 from flowtide.operators import learning
 from flowtide.operators.encode import preprocess_flows
 from flowtide.plans.training import train_from_flows
-from flowtide.schema import LABELLED_COLUMNS
+from flowtide.schema import FEATURES, LABELLED_COLUMNS
+from flowtide.sources.events import flows_of
 from flowtide.sources.files import load_model, save_model
 from tests.helpers import plan, raw_flows
 
@@ -144,3 +147,31 @@ def test_cuts_follow_the_weights_of_all_rows(spark):
             cuts.append((before + value) / 2)
         below += n
     assert learning.cut_points(rows.repartition(3), ["a", "b"]) == {"a": cuts}
+
+
+def test_scoring_leaves_no_method_too_long_for_the_jvm_to_compile(spark, tmp_path, capsys):
+    rows = spark.range(200).selectExpr(
+        "cast(id % 3 as string) as Label", "cast(id as double) as Dur", "id as TotPkts", "id * 2 as TotBytes", "id * 3 as SrcBytes",
+        "0 as Proto_tcp", "0 as Proto_udp", "1 as Dir_one", "0 as sTosone", "0 as Proto_others", "0 as Dir_others",
+        "id % 5 = 0 as isVal", "1.0d as weight")
+    model = learning.train_flow_classifier(rows, "boosted", trees=1)
+    spark.range(50).selectExpr(
+        "id as event_id", "timestamp_ntz'2024-01-01 00:00:00' as ts", "id as user_id", "'click' as event_type", "id / 7 as value",
+        "concat('{\"k\": ', id, '}') as props").write.parquet(str(tmp_path / "events"))
+    encoded = preprocess_flows(flows_of(spark.read.parquet(str(tmp_path / "events"))), 0.0, keep=["flow_id"])
+    scored = learning.score_flows(encoded, model)
+    scored.explain("codegen")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    assert sizes and max(sizes) <= 8000
+    assert scored.where("prediction is not null").count() == 50
+
+
+def test_scoring_fills_features_as_training_does(spark):
+    nan, kinds = float("nan"), {"Dur": "double", "TotPkts": "long"}
+    schema = ", ".join(f"{c} {kinds.get(c, 'int' if '_' in c else 'double')}" for c in FEATURES)
+    base = [float(i) if kinds.get(c, "int" if "_" in c else "double") == "double" else i for i, c in enumerate(FEATURES, 1)]
+    rows = [tuple(base), tuple([nan, *base[1:]]), tuple([-0.0, *base[1:]]), tuple([None] * len(FEATURES))]
+    df = spark.createDataFrame(rows, schema)
+    expected, found = learning.fill_features(df), learning._filled_apart(df)
+    assert found.columns == expected.columns and found.dtypes == expected.dtypes
+    assert [str(r) for r in found.collect()] == [str(r) for r in expected.collect()]
